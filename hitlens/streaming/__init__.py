@@ -1,0 +1,5 @@
+"""Incremental chart reports over a directory that receives daily ranking files."""
+
+from hitlens.streaming.charts import ranking_stream, start_report
+
+__all__ = ["ranking_stream", "start_report"]

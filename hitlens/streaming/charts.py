@@ -1,0 +1,65 @@
+"""Chart reports kept up to date while ranking files arrive.
+
+The report functions of ``hitlens.operators.charts`` are plain DataFrame
+transformations, so they apply unchanged to a streaming DataFrame: the
+aggregation state (one row per label) lives in the state store, and each
+trigger folds only the new files in. Reports are emitted in ``complete``
+mode, the mode in which Spark allows the final sort (and top-k). The query's
+checkpoint goes under the session's shared checkpoint folder so a restarted
+query resumes where it stopped.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from hitlens.functions import blank_if_null
+from hitlens.session import stored_table_path
+from hitlens.sources.delimited import RANKING_FIELDS
+
+
+def ranking_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Ranking CSV files (header, quoted) appearing in ``directory``, as text columns."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in RANKING_FIELDS])
+    reader = (
+        spark.readStream.schema(schema)
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.csv(directory)
+    return raw.select(*[blank_if_null(c).alias(c) for c in RANKING_FIELDS])
+
+
+def start_report(
+    report: DataFrame,
+    name: str,
+    sink: str = "memory",
+    path: str | None = None,
+    checkpoint: str | None = None,
+    once: bool = False,
+) -> StreamingQuery:
+    """Start a streaming report in complete mode.
+
+    ``sink='memory'`` exposes the result as table ``name`` (tests, notebooks);
+    any other sink format is written per trigger with ``foreachBatch`` to
+    Parquet under ``path`` (the whole current report replaces the previous).
+    """
+    spark = report.sparkSession
+    location = checkpoint or stored_table_path(spark, f"stream-{name}")
+    writer = report.writeStream.outputMode("complete").option("checkpointLocation", location)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    if sink == "memory":
+        return writer.format("memory").queryName(name).start()
+    if path is None:
+        raise ValueError("path is required for a file sink")
+
+    def publish(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return writer.foreachBatch(publish).start()

@@ -1,0 +1,26 @@
+"""Chart reports over a stream of ranking files."""
+
+import os
+
+from hitlens.operators.charts import top_artists
+from hitlens.streaming import ranking_stream, start_report
+
+HEADER = "Position,Track Name,Artist,Streams,URL,Date,Region\n"
+
+
+def test_report_updates_as_files_arrive(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "day1.csv"), "w") as f:
+        f.write(HEADER + '1,"S, one",A,10,u,2017-01-01,cl\n2,T,B,5,u,2017-01-01,cl\n')
+    report = top_artists(ranking_stream(spark, src), "cl")
+    q = start_report(report, "artists_cl", checkpoint=os.path.join(scratch, "ckpt"))
+    try:
+        q.processAllAvailable()
+        assert [tuple(r) for r in spark.table("artists_cl").collect()] == [(10, "A"), (5, "B")]
+        with open(os.path.join(src, "day2.csv"), "w") as f:
+            f.write(HEADER + "1,T,B,20,u,2017-01-02,cl\n1,X,C,99,u,2017-01-02,ar\n")
+        q.processAllAvailable()
+        assert [tuple(r) for r in spark.table("artists_cl").collect()] == [(25, "B"), (10, "A")]
+    finally:
+        q.stop()
