@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitlens.functions import normalise_artist
+from hitlens.sources.layout import spread_small_inputs
 
 # Page size of a stored candidate response document (one search result page).
 PAGE = 100
@@ -110,7 +111,7 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_small_inputs(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 # ---------------------------------------------------------------- resolution
@@ -229,7 +230,10 @@ def _pages(items: DataFrame, order: list[str], root: str, list_tag: str) -> Data
         F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], F.col("xml")))).alias("items")
     )
     body = F.array_join(F.transform("items", lambda x: x["xml"]), "")
-    return grouped.select(
+    # Pages are few but large and parsing is costly per byte: keep one
+    # partition per task slot instead of letting AQE merge them by size.
+    slots = items.sparkSession.sparkContext.defaultParallelism
+    return grouped.repartition(slots, "query", "page").select(
         "query", "page",
         F.concat(F.lit(f"<{root}><{list_tag} count=\""), F.size("items").cast("string"), F.lit("\">"),
                  body, F.lit(f"</{list_tag}></{root}>")).alias("doc"),
@@ -298,3 +302,60 @@ class Tables:
 
     def supplier_names(self) -> DataFrame:
         return table(self.spark, self.sf_dir, "supplier").select("s_suppkey", "s_name")
+
+
+STORED = ("chart", "extension", "series", "requests", "artist_documents", "work_documents")
+
+
+class StoredTables(Tables):
+    """Derived tables written once as Parquet and read back (the jobs' stored inputs)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str):
+        super().__init__(spark, sf_dir)
+        object.__setattr__(self, "root", root)
+
+    @classmethod
+    def materialize(cls, spark: SparkSession, sf_dir: str, root: str) -> "StoredTables":
+        """Write the derived inputs as a production job would store them.
+
+        The ranking is partitioned by region (region reports read one
+        directory) and sorted by date within its files (date filters skip
+        row groups by their min/max statistics). A range partitioning on
+        (region, date) gives each writer task a contiguous slice, so most
+        regions land in one file while a hot region is split over several
+        tasks instead of one.
+        """
+        derived = Tables(spark, sf_dir)
+        slots = spark.sparkContext.defaultParallelism
+        for name in STORED:
+            df = getattr(derived, name)()
+            if name == "chart":
+                df = df.repartitionByRange(slots, "region", "date").sortWithinPartitions("region", "date")
+                df.write.mode("overwrite").partitionBy("region").parquet(f"{root}/{name}")
+            else:
+                df.write.mode("overwrite").parquet(f"{root}/{name}")
+        return cls(spark, sf_dir, root)
+
+    def _stored(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
+    def texts(self) -> DataFrame:
+        return texts(self.spark, self.sf_dir)
+
+    def chart(self) -> DataFrame:
+        return self._stored("chart")
+
+    def extension(self) -> DataFrame:
+        return self._stored("extension")
+
+    def series(self) -> DataFrame:
+        return self._stored("series")
+
+    def requests(self) -> DataFrame:
+        return self._stored("requests")
+
+    def artist_documents(self) -> DataFrame:
+        return self._stored("artist_documents")
+
+    def work_documents(self) -> DataFrame:
+        return self._stored("work_documents")

@@ -1,0 +1,24 @@
+"""Input layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_inputs(df: DataFrame, slots: int | None = None) -> DataFrame:
+    """Spread an input that has fewer splits than task slots.
+
+    An unsplittable input (one Parquet row group, a gzip file) is read by a
+    single task, and so is all per-row work after it until the first
+    shuffle. When that work is heavy per byte (splitting texts, parsing
+    documents), a round-robin repartition right after the read is the cheap
+    fix. A well-split input (the normal case on a large table) is returned
+    unchanged, so no shuffle is added there.
+
+    Call this on a plain scan (no shuffle below it): the split count is then
+    known from file planning alone, without running a job.
+    """
+    target = slots or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
