@@ -197,6 +197,16 @@ ORACLES: dict[str, str] = {
     ),
 }
 
+# The file-fed variants compute the same results; text files carry position
+# and streams as text.
+ORACLES["top_position_counts_from_csv"] = ORACLES["top_position_counts"]
+ORACLES["series_mean_from_tsv"] = ORACLES["series_mean"]
+ORACLES["word_count_from_text"] = ORACLES["word_count"]
+ORACLES["enrich_ranking_from_files"] = _with(CHART, EXT, BEST_MATCH, ENRICHED) + (
+    "SELECT CAST(position AS VARCHAR) AS position, track, artist, CAST(streams AS VARCHAR) AS streams,\n"
+    "       url, date, region, country, begin_area FROM enriched"
+)
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

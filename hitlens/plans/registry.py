@@ -13,7 +13,9 @@ from hitlens.operators.charts import top_artists, top_position_counts, top_songs
 from hitlens.operators.enrich import containment_match, enrich_ranking, last_matches
 from hitlens.operators.groups import lines_of, series_mean, word_count
 from hitlens.operators.resolve import distinct_pairs, related_works, resolve_pairs
+from hitlens.plans import files
 from hitlens.plans.fixtures import Tables
+from hitlens.sources import read_extension, read_lines, read_ranking, read_series
 
 # Fixed report parameters for the derived chart (its dates are month starts
 # in 1995-2001 and its regions are nation names).
@@ -55,6 +57,25 @@ def q_strip_commas(t: Tables) -> DataFrame:
                         *[strip_commas(c).alias(c) for c in ("url", "date", "region")])
 
 
+def q_top_position_counts_from_csv(t: Tables) -> DataFrame:
+    return top_position_counts(read_ranking(t.spark, files.chart_csv(t.chart())), year=YEAR)
+
+
+def q_enrich_ranking_from_files(t: Tables) -> DataFrame:
+    ranking = read_ranking(t.spark, files.chart_csv(t.chart()))
+    extension = read_extension(t.spark, files.extension_lines(t.extension()), skip_lines=0)
+    return enrich_ranking(ranking, extension)
+
+
+def q_series_mean_from_tsv(t: Tables) -> DataFrame:
+    ratings = read_series(t.spark, files.series_tsv(t.series()))
+    return series_mean(ratings, SERIES_TYPE).select("label", F.round("mean_rating", 6).alias("mean_rating"))
+
+
+def q_word_count_from_text(t: Tables) -> DataFrame:
+    return word_count(read_lines(t.spark, files.text_lines(lines_of(t.texts()))))
+
+
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "top_position_counts": lambda t: top_position_counts(t.chart(), year=YEAR),
     "top_position_counts_top10": lambda t: top_position_counts(t.chart(), year=YEAR, k=TOP_K),
@@ -75,6 +96,11 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "enrich_ranking": lambda t: enrich_ranking(t.chart(), t.extension()),
     "enrich_artist_totals": lambda t: top_artists(enrich_ranking(t.chart(), t.extension()), region=REGION),
     "strip_commas": q_strip_commas,
+    # The same jobs fed through the file sources (written, then read back).
+    "top_position_counts_from_csv": q_top_position_counts_from_csv,
+    "enrich_ranking_from_files": q_enrich_ranking_from_files,
+    "series_mean_from_tsv": q_series_mean_from_tsv,
+    "word_count_from_text": q_word_count_from_text,
 }
 
 
