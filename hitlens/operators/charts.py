@@ -9,6 +9,8 @@ one row per stream.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,18 +30,26 @@ def _streams_total() -> F.Column:
     return F.sum(F.col("streams").cast("bigint")).alias("streams")
 
 
+def _without(cond: F.Column, exclude_regions: Sequence[str]) -> F.Column:
+    # Worldwide reports count every region; a feed that also carries a
+    # worldwide pseudo-region can drop it here.
+    return cond & ~F.col("region").isin(list(exclude_regions)) if exclude_regions else cond
+
+
 def top_position_counts(
     ranking: DataFrame,
     year: str = "2017",
     position: int = 1,
     k: int | None = None,
+    exclude_regions: Sequence[str] = (),
 ) -> DataFrame:
     """How many times each ``track#artist`` held ``position`` in a date containing ``year``.
 
     All regions are counted together. Returns ``(n, label)`` ordered by ``n``
     descending, then label; ``k`` keeps the top ``k`` rows only.
     """
-    rows = ranking.where(text_equals(ranking, "position", position) & F.col("date").contains(year))
+    cond = text_equals(ranking, "position", position) & F.col("date").contains(year)
+    rows = ranking.where(_without(cond, exclude_regions))
     counts = rows.groupBy(label("track", "artist").alias("label")).agg(F.count(F.lit(1)).alias("n"))
     return _ordered(counts.select("n", "label"), "n", "label", k)
 
@@ -49,12 +59,15 @@ def top_songs(
     date: str,
     region: str | None = None,
     k: int | None = None,
+    exclude_regions: Sequence[str] = (),
 ) -> DataFrame:
     """Total streams per ``track#artist`` on ``date`` (optionally in one ``region``)."""
     cond = F.col("date") == F.lit(date)
     if region is not None:
         cond = cond & (F.col("region") == F.lit(region))
-    totals = ranking.where(cond).groupBy(label("track", "artist").alias("label")).agg(_streams_total())
+    totals = ranking.where(_without(cond, exclude_regions)).groupBy(label("track", "artist").alias("label")).agg(
+        _streams_total()
+    )
     return _ordered(totals.select("streams", "label"), "streams", "label", k)
 
 

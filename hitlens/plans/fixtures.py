@@ -300,11 +300,20 @@ class Tables:
     def work_documents(self) -> DataFrame:
         return work_documents(self.spark, self.sf_dir)
 
-    def supplier_names(self) -> DataFrame:
-        return table(self.spark, self.sf_dir, "supplier").select("s_suppkey", "s_name")
+    def artist_candidates(self) -> DataFrame:
+        """Flattened artist pages (parsed once, then read by resolution)."""
+        from hitlens.operators.candidates import flatten_artists
 
+        return flatten_artists(self.artist_documents())
 
-STORED = ("chart", "extension", "series", "requests", "artist_documents", "work_documents")
+    def work_candidates(self) -> DataFrame:
+        from hitlens.operators.candidates import flatten_works
+
+        return flatten_works(self.work_documents())
+
+
+STORED = ("chart", "extension", "series", "requests", "artist_documents", "work_documents",
+          "artist_candidates", "work_candidates")
 
 
 class StoredTables(Tables):
@@ -359,3 +368,9 @@ class StoredTables(Tables):
 
     def work_documents(self) -> DataFrame:
         return self._stored("work_documents")
+
+    def artist_candidates(self) -> DataFrame:
+        return self._stored("artist_candidates")
+
+    def work_candidates(self) -> DataFrame:
+        return self._stored("work_candidates")

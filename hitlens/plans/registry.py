@@ -31,7 +31,7 @@ WORK_ORDER = ("page", "pos", "item")
 
 
 def _resolution_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return t.requests(), flatten_artists(t.artist_documents()), flatten_works(t.work_documents())
+    return t.requests(), t.artist_candidates(), t.work_candidates()
 
 
 def q_related_works(t: Tables) -> DataFrame:
@@ -64,7 +64,7 @@ def q_top_position_counts_from_csv(t: Tables) -> DataFrame:
 def q_enrich_ranking_from_files(t: Tables) -> DataFrame:
     ranking = read_ranking(t.spark, files.chart_csv(t.chart()))
     extension = read_extension(t.spark, files.extension_lines(t.extension()), skip_lines=0)
-    return enrich_ranking(ranking, extension)
+    return enrich_ranking(ranking, extension).drop("ord")
 
 
 def q_series_mean_from_tsv(t: Tables) -> DataFrame:

@@ -16,7 +16,7 @@ from hitlens.sources.delimited import (
     read_ranking,
     read_series,
 )
-from hitlens.sources.xml import read_xml_documents
+from hitlens.sources.xml import read_response_files, read_xml_documents
 
 __all__ = [
     "EXTENDED_FIELDS",
@@ -33,5 +33,6 @@ __all__ = [
     "read_pairs",
     "read_ranking",
     "read_series",
+    "read_response_files",
     "read_xml_documents",
 ]

@@ -18,7 +18,9 @@ def spread_small_inputs(df: DataFrame, slots: int | None = None) -> DataFrame:
     Call this on a plain scan (no shuffle below it): the split count is then
     known from file planning alone, without running a job.
     """
-    target = slots or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = slots or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave the layout alone
+        return df
+    return df.repartition(target) if splits < target else df

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_xml_documents(
@@ -22,3 +23,16 @@ def read_xml_documents(
     """Read stored response pages (Parquet by default, or JSON lines)."""
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.format(fmt).load(paths).select(*columns)
+
+
+def read_response_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """One row per stored response file: (query, page, doc).
+
+    Each file is read whole (a response page is small); ``query`` is the
+    file name without extension and ``page`` 0, for files named per query.
+    Files are independent rows, so parsing them spreads over all tasks.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    files = spark.read.option("wholetext", True).text(paths)
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
+    return files.select(name.alias("query"), F.lit(0).cast("bigint").alias("page"), F.col("value").alias("doc"))

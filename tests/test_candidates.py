@@ -41,3 +41,16 @@ def test_work_list_keeps_only_artist_relations(spark):
     )
     out = rows(flatten_works(docs(spark, doc)), "pos", "item", "arid", "name", "title")
     assert out == [(0, 0, "a1", "One", "Song"), (0, 1, "a2", "Two", "Song"), (2, 0, "a3", "Three", "")]
+
+
+def test_response_files(spark, scratch):
+    import os
+
+    from hitlens.sources import read_response_files
+
+    for q, name in (("madonna", "Madonna"), ("prince", "Prince")):
+        with open(os.path.join(scratch, f"{q}.xml"), "w") as f:
+            f.write(f'<metadata><artist-list count="1"><artist id="{q}1"><name>{name}</name>'
+                    "</artist></artist-list></metadata>\n")
+    out = rows(flatten_artists(read_response_files(spark, scratch)), "query", "name", "arid")
+    assert out == [("madonna", "Madonna", "madonna1"), ("prince", "Prince", "prince1")]

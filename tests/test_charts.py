@@ -51,3 +51,10 @@ def test_sums_do_not_wrap(spark):
     big = str(2**31 - 1)
     df = ranking(spark, [("1", "S", "A", big, "u", "d", "cl"), ("2", "S", "A", big, "u", "d", "cl")])
     assert top_artists(df, "cl").first()[0] == 2 * (2**31 - 1)
+
+
+def test_exclude_regions(spark):
+    data = [("1", "S", "A", "5", "u", "2017-12-25", "global"), ("1", "S", "A", "7", "u", "2017-12-25", "cl")]
+    df = ranking(spark, data)
+    assert [tuple(r) for r in top_songs(df, "2017-12-25", exclude_regions=["global"]).collect()] == [(7, "S#A")]
+    assert top_position_counts(df, "2017", exclude_regions=["global"]).first()[0] == 1

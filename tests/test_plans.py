@@ -30,3 +30,13 @@ def test_no_python_and_no_pair_joins(spark, name):
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct",
                  "BroadcastNestedLoopJoin"):
         assert node not in text, f"{name} uses {node}"
+
+
+def test_region_report_prunes_partitions(spark, scratch):
+    from hitlens.operators.charts import top_artists
+    from hitlens.plans.fixtures import StoredTables
+
+    stored = StoredTables.materialize(spark, SF_SMALL, scratch + "/stored")
+    text = plan(top_artists(stored.chart(), "NATION_7"))
+    assert "PartitionFilters: [isnotnull(region" in text and "(region" in text and "= NATION_7)" in text
+    assert "ReadSchema: struct<artist:string,streams:bigint>" in text

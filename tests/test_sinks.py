@@ -41,3 +41,25 @@ def test_parquet_partitioned(spark, scratch):
     write_table(df, out, partition_by=["region"])
     assert {"_SUCCESS", "region=ar", "region=cl"} <= set(os.listdir(out))
     assert spark.read.parquet(out).where("region = 'cl'").first().artist == "a"
+
+
+def test_enriched_csv_keeps_input_order_and_strips(spark, scratch):
+    from hitlens.operators.enrich import enrich_ranking
+    from hitlens.sources import read_extension, read_ranking
+
+    header = "Position,Track Name,Artist,Streams,URL,Date,Region\n"
+    lines = [f'{i},"T{i}, x",A,{i},u,d,cl\n' for i in range(40)]
+    src = os.path.join(scratch, "rank.csv")
+    with open(src, "w") as f:
+        f.write(header + "".join(lines))
+    ext = os.path.join(scratch, "ext.csv")
+    with open(ext, "w") as f:
+        f.write("artist,song,r,country,place\n\nA,T1,,CL,P\n")
+    out = os.path.join(scratch, "extended")
+    enriched = enrich_ranking(read_ranking(spark, src), read_extension(spark, ext))
+    cols = ["position", "track", "artist", "streams", "url", "date", "region", "country", "begin_area"]
+    write_csv(enriched, out, columns=cols, order_by="ord", strip=True)
+    written = [ln for f in sorted(glob.glob(out + "/part-*")) for ln in open(f).read().splitlines()[1:]]
+    assert [w.split(",")[0] for w in written] == [str(i) for i in range(40)]
+    assert written[1] == "1,T1 x,A,1,u,d,cl,NONE,NONE"
+    assert written[10] == "10,T10 x,A,10,u,d,cl,NONE,NONE"
