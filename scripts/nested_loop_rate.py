@@ -1,0 +1,44 @@
+"""Throughput of a single-process nested-loop enrichment (our own restatement).
+
+Times the row-by-row scan of the whole extension for a sample of ranking
+rows at the given scale and extrapolates to the full ranking, for comparison
+with the Spark job. Usage: python scripts/nested_loop_rate.py [sf_dir] [sample]
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import duckdb  # noqa: E402
+
+from hitlens.plans.oracles import CHART, EXT  # noqa: E402
+
+
+def main() -> None:
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    sample = int(sys.argv[2]) if len(sys.argv) > 2 else 2000
+    con = duckdb.connect()
+    for t in ("lineitem", "orders", "customer", "nation", "part", "region"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    chart = con.sql(f"WITH {CHART.strip()} SELECT track, artist FROM chart").fetchall()
+    ext = con.sql(f"WITH {EXT.strip()} SELECT artist, song, country, starting_place FROM ext ORDER BY ord").fetchall()
+    start = time.perf_counter()
+    for track, artist in chart[:sample]:
+        country = begin = "NONE"
+        for e_artist, e_song, e_country, e_place in ext:
+            if artist.lower() in e_artist.lower() and track.lower() in e_song.lower() and e_country is not None:
+                country, begin = e_country, (e_place if e_place is not None else "NONE")
+    per_row = (time.perf_counter() - start) / sample
+    print(json.dumps({"ranking_rows": len(chart), "extension_rows": len(ext), "sample": sample,
+                      "sec_per_ranking_row": round(per_row, 6),
+                      "extrapolated_sec_1_process": round(per_row * len(chart), 1),
+                      "extrapolated_sec_4_processes": round(per_row * len(chart) / 4, 1)}))
+
+
+if __name__ == "__main__":
+    main()
