@@ -24,3 +24,17 @@ def test_report_updates_as_files_arrive(spark, scratch):
         assert [tuple(r) for r in spark.table("artists_cl").collect()] == [(25, "B"), (10, "A")]
     finally:
         q.stop()
+
+
+def test_report_to_parquet_once(spark, scratch):
+    from hitlens.operators.charts import top_position_counts
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "day1.csv"), "w") as f:
+        f.write(HEADER + "1,S,A,10,u,2017-01-01,cl\n1,S,A,10,u,2017-01-02,cl\n1,T,B,5,u,2016-01-01,cl\n")
+    out = os.path.join(scratch, "out")
+    report = top_position_counts(ranking_stream(spark, src, max_files_per_trigger=1), year="2017")
+    q = start_report(report, "top1", sink="parquet", path=out, checkpoint=os.path.join(scratch, "ck"), once=True)
+    q.awaitTermination(120)
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(2, "S#A")]
