@@ -72,12 +72,12 @@ def chart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Origin table (ord, artist, song, country, starting_place) from every 4th part.
+    """Origin table (ord, artist, song, country, starting_place), one row per part.
 
     ``country`` null marks a row of at most 3 fields, ``starting_place`` null
     one of at most 4 fields; ``country`` is ``''`` for some rows.
     """
-    part = table(spark, sf_dir, "part").where(F.col("p_partkey") % 4 == 0)
+    part = table(spark, sf_dir, "part")
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
     region = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
     short3 = F.col("p_size") % 11 == 0
@@ -146,8 +146,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     (a) every supplier-name prefix (17 chars; lower-cased for odd groups of
         ten suppliers) with the noun of every part its group supplies, and
         with ``zzz`` (no work: artist-only fallback);
-    (b) the lower-cased ``&`` name of suppliers with key % 4 <> 0 with
-        ``ring`` and ``zzz`` (matches only through the raw name);
+    (b) the lower-cased ``&`` name of every supplier with ``ring`` and
+        ``zzz`` (names with an ``x`` suffix match only through the raw name);
     (c) ``Nobody & <region>`` with ``ring`` (no candidate at all).
     """
     sup = _suppliers(spark, sf_dir)
@@ -164,7 +164,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(pfx, "song")
     )
     a_zzz = sup.select(pfx, F.lit("zzz").alias("song"))
-    raw = sup.where(F.col("s_suppkey") % 4 != 0)
+    raw = sup
     b_ring = raw.select(F.lower("nm").alias("artist"), F.lit("ring").alias("song"))
     b_zzz = raw.select(F.lower("nm").alias("artist"), F.lit("zzz").alias("song"))
     c = table(spark, sf_dir, "region").select(
@@ -177,8 +177,8 @@ def artist_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate artists per normalised-name query: (query, ord, name, country, arid, begin_area).
 
     Each supplier is a hit for its lower-cased prefix, a decoy hit for the
-    next group's prefix (fails the name test), and, when key % 4 <> 0, a hit
-    for its normalised ``&`` name.
+    next group's prefix (fails the name test), and a hit for its normalised
+    ``&`` name.
     """
     sup = _suppliers(spark, sf_dir)
     cols = [F.col("s_suppkey").alias("ord"), F.col("nm").alias("name"), "country",
@@ -186,17 +186,17 @@ def artist_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = sup.select(F.lower("prefix").alias("query"), *cols)
     nxt = F.concat(F.lit("supplier#"), F.lpad((F.floor(F.col("s_suppkey") / 10) + 1).cast("string"), 8, "0"))
     decoy = sup.select(nxt.alias("query"), *cols)
-    normed = sup.where(F.col("s_suppkey") % 4 != 0).select(normalise_artist("nm").alias("query"), *cols)
+    normed = sup.select(normalise_artist("nm").alias("query"), *cols)
     return own.unionByName(decoy).unionByName(normed)
 
 
 def work_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate works per lower-cased song query: (query, ord, arid, name, title).
 
-    Distinct (supplier, part name) supplied pairs, skipping suppliers with
-    key % 7 = 3; query = the noun of the name; order = (ord, title).
+    Distinct (supplier, part name) supplied pairs; query = the noun of the
+    name; order = (ord, title).
     """
-    lineitem = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").where(F.col("l_suppkey") % 7 != 3)
+    lineitem = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     pairs = lineitem.join(part, lineitem.l_partkey == part.p_partkey).select("l_suppkey", "p_name").distinct()
     return pairs.select(

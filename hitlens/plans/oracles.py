@@ -29,7 +29,6 @@ ext AS (
          CASE WHEN p_size % 11 = 0 THEN NULL WHEN p_size % 7 = 0 THEN '' ELSE n_name END AS country,
          CASE WHEN p_size % 11 = 0 OR p_size % 5 = 0 THEN NULL ELSE r_name END AS starting_place
   FROM part JOIN nation ON p_partkey % 25 = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE p_partkey % 4 = 0
 )"""
 
 # Brute force: every (needle, extension row) pair tested, last eligible match kept.
@@ -71,8 +70,8 @@ requests AS (
     SELECT s.req_artist AS artist, split_part(p_name, ' ', 2) AS song
       FROM sup s JOIN lineitem ON l_suppkey = s.s_suppkey JOIN part ON l_partkey = p_partkey
     UNION ALL SELECT req_artist, 'zzz' FROM sup
-    UNION ALL SELECT lower(nm), 'ring' FROM sup WHERE s_suppkey % 4 <> 0
-    UNION ALL SELECT lower(nm), 'zzz' FROM sup WHERE s_suppkey % 4 <> 0
+    UNION ALL SELECT lower(nm), 'ring' FROM sup
+    UNION ALL SELECT lower(nm), 'zzz' FROM sup
     UNION ALL SELECT 'Nobody & ' || r_name, 'ring' FROM region
   ) r
 )"""
@@ -87,7 +86,7 @@ ahits AS (
   FROM sup
   UNION ALL
   SELECT replace(replace(lower(nm), '&', ''), '  ', ' '), s_suppkey, nm, country, CAST(s_suppkey AS VARCHAR), begin_area
-  FROM sup WHERE s_suppkey % 4 <> 0
+  FROM sup
 )"""
 
 WHITS = """
@@ -95,7 +94,6 @@ whits AS (
   SELECT DISTINCT split_part(p_name, ' ', 2) AS query, l_suppkey AS ord, CAST(l_suppkey AS VARCHAR) AS arid,
          'Artist ' || CAST(l_suppkey AS VARCHAR) AS name, p_name AS title
   FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE l_suppkey % 7 <> 3
 )"""
 
 # Every candidate x work pair of a request, filtered and scored as stated.
