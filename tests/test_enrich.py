@@ -1,6 +1,8 @@
 """Origin enrichment: hand-made rule cases and a brute-force restatement."""
 
-from hitlens.operators.enrich import enrich_ranking
+import pytest
+
+from hitlens.operators.enrich import HOT_KEY, enrich_ranking
 from hitlens.plans.fixtures import chart, extension
 from tests.conftest import SF_SMALL
 
@@ -75,13 +77,14 @@ def brute_force(ranking_rows, ext_rows):
     return sorted(out)
 
 
-def test_matches_brute_force_on_derived_tables(spark):
+@pytest.mark.parametrize("hot", [HOT_KEY, 0])
+def test_matches_brute_force_on_derived_tables(spark, hot):
     ranking = chart(spark, SF_SMALL)
     ext = extension(spark, SF_SMALL)
     expected = brute_force([r.asDict() for r in ranking.collect()], [e.asDict() for e in ext.collect()])
     got = sorted(
         (r.track, r.artist, r.date, r.region, r.country, r.begin_area)
-        for r in enrich_ranking(ranking, ext).collect()
+        for r in enrich_ranking(ranking, ext, hot=hot).collect()
     )
     assert len(got) == 5884
     assert got == expected
