@@ -12,8 +12,6 @@ derivations in SQL, independently of this code.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -272,12 +270,12 @@ def work_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages(hits.select("query", "ord", "title", xml.alias("xml")), ["ord", "title"], "metadata", "work-list")
 
 
-@dataclass(frozen=True)
 class Tables:
     """Lazily derived inputs of the registered queries."""
 
-    spark: SparkSession
-    sf_dir: str
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
 
     def chart(self) -> DataFrame:
         return chart(self.spark, self.sf_dir)
@@ -321,7 +319,7 @@ class StoredTables(Tables):
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str):
         super().__init__(spark, sf_dir)
-        object.__setattr__(self, "root", root)
+        self.root = root
 
     @classmethod
     def materialize(cls, spark: SparkSession, sf_dir: str, root: str) -> "StoredTables":

@@ -42,6 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: intermediate tables need a folder shared by all executors"
+        )
     local = tempfile.mkdtemp(prefix="hitlens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
