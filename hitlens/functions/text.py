@@ -10,12 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ColumnOrName = Column | str
+from hitlens.constants import (  # noqa: F401 - NO_MATCH re-exported
+    ARTIST_STOP_CHARACTER,
+    DOUBLE_SPACE,
+    FIELD_SEPARATOR,
+    LABEL_SEPARATOR,
+    MISSING,
+    NO_MATCH,
+    WORD_SEPARATOR,
+)
 
-# Fixed values of the data model.
-LABEL_SEPARATOR = "#"  # composite key "title#artist", "series#year"
-MISSING = ""  # attribute absent in a candidate document
-NO_MATCH = "NONE"  # ranking row without an origin match
+ColumnOrName = Column | str
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -38,13 +43,13 @@ def label(*parts: ColumnOrName) -> Column:
 
 def strip_commas(c: ColumnOrName) -> Column:
     """Remove every comma, so naive comma splitting downstream stays aligned."""
-    return F.replace(_col(c), F.lit(","), F.lit(""))
+    return F.replace(_col(c), F.lit(FIELD_SEPARATOR), F.lit(""))
 
 
 def normalise_artist(c: ColumnOrName) -> Column:
     """Lower-case, drop ``&``, then one non-recursive pass of double space -> space."""
-    lowered = F.replace(F.lower(_col(c)), F.lit("&"), F.lit(""))
-    return F.replace(lowered, F.lit("  "), F.lit(" "))
+    lowered = F.replace(F.lower(_col(c)), F.lit(ARTIST_STOP_CHARACTER), F.lit(""))
+    return F.replace(lowered, F.lit(DOUBLE_SPACE), F.lit(WORD_SEPARATOR))
 
 
 def blank_if_null(c: ColumnOrName) -> Column:
@@ -72,12 +77,12 @@ def split_words(c: ColumnOrName, keep_trailing: bool = True) -> Column:
     """
     col = _col(c)
     if keep_trailing:
-        return F.split(col, " ", -1)
+        return F.split(col, WORD_SEPARATOR, -1)
     trimmed = F.rtrim(col)
     return (
         F.when(col == F.lit(""), F.array(F.lit("")))
         .when(trimmed == F.lit(""), F.array().cast(T.ArrayType(T.StringType())))
-        .otherwise(F.split(trimmed, " ", -1))
+        .otherwise(F.split(trimmed, WORD_SEPARATOR, -1))
     )
 
 

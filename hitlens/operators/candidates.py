@@ -15,19 +15,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitlens.constants import (
+    ARTIST,
+    ARTIST_LIST,
+    ARTIST_TARGET,
+    BEGIN_AREA,
+    RELATION,
+    RELATION_LIST,
+    TARGET_TYPE,
+    WORK,
+    WORK_LIST,
+)
 from hitlens.functions import blank_if_null
 
-# Element and attribute names of the search responses.
+# Attributes are read with the "_" prefix; repeatable elements are arrays.
 ARTIST_SCHEMA = (
-    "`artist-list` STRUCT<_count: BIGINT, artist: ARRAY<STRUCT<"
-    "_id: STRING, name: STRING, country: STRING, `begin-area`: STRUCT<name: STRING>>>>"
+    f"`{ARTIST_LIST}` STRUCT<_count: BIGINT, {ARTIST}: ARRAY<STRUCT<"
+    f"_id: STRING, name: STRING, country: STRING, `{BEGIN_AREA}`: STRUCT<name: STRING>>>>"
 )
 WORK_SCHEMA = (
-    "`work-list` STRUCT<_count: BIGINT, work: ARRAY<STRUCT<"
-    "title: STRING, `relation-list`: ARRAY<STRUCT<`_target-type`: STRING, "
-    "relation: ARRAY<STRUCT<artist: ARRAY<STRUCT<_id: STRING, name: STRING>>>>>>>>>"
+    f"`{WORK_LIST}` STRUCT<_count: BIGINT, {WORK}: ARRAY<STRUCT<"
+    f"title: STRING, `{RELATION_LIST}`: ARRAY<STRUCT<`_{TARGET_TYPE}`: STRING, "
+    f"{RELATION}: ARRAY<STRUCT<{ARTIST}: ARRAY<STRUCT<_id: STRING, name: STRING>>>>>>>>>"
 )
-ARTIST_TARGET = "artist"
 # Values keep their surrounding spaces: a name may end in one and still has to
 # match byte for byte.
 XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
@@ -39,7 +49,7 @@ def flatten_artists(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("q
     ``pos`` is the element's position in its document; absent attributes are ``''``.
     """
     parsed = docs.select(*keep, F.from_xml(F.col(doc), ARTIST_SCHEMA, XML_OPTIONS).alias("x"))
-    rows = parsed.select(*keep, F.posexplode(F.col("x")["artist-list"]["artist"]).alias("pos", "a"))
+    rows = parsed.select(*keep, F.posexplode(F.col("x")[ARTIST_LIST][ARTIST]).alias("pos", "a"))
     a = F.col("a")
     return rows.select(
         *keep,
@@ -47,7 +57,7 @@ def flatten_artists(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("q
         blank_if_null(a["name"]).alias("name"),
         blank_if_null(a["country"]).alias("country"),
         blank_if_null(a["_id"]).alias("arid"),
-        blank_if_null(a["begin-area"]["name"]).alias("begin_area"),
+        blank_if_null(a[BEGIN_AREA]["name"]).alias("begin_area"),
     )
 
 
@@ -60,12 +70,15 @@ def flatten_works(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("que
     (page, pos, item) is the document order of the unrolled list.
     """
     parsed = docs.select(*keep, F.from_xml(F.col(doc), WORK_SCHEMA, XML_OPTIONS).alias("x"))
-    works = parsed.select(*keep, F.posexplode(F.col("x")["work-list"]["work"]).alias("pos", "w"))
+    works = parsed.select(*keep, F.posexplode(F.col("x")[WORK_LIST][WORK]).alias("pos", "w"))
     artists = F.flatten(
         F.transform(
-            F.filter(F.col("w")["relation-list"], lambda rl: rl["_target-type"] == F.lit(ARTIST_TARGET)),
+            F.filter(F.col("w")[RELATION_LIST], lambda rl: rl[f"_{TARGET_TYPE}"] == F.lit(ARTIST_TARGET)),
             lambda rl: F.flatten(
-                F.transform(rl["relation"], lambda r: F.coalesce(r["artist"], F.array().cast("array<struct<_id:string,name:string>>")))
+                F.transform(
+                    rl[RELATION],
+                    lambda r: F.coalesce(r[ARTIST], F.array().cast("array<struct<_id:string,name:string>>")),
+                )
             ),
         )
     )

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitlens.constants import TOP_POSITION, TOP_YEAR
 from hitlens.functions import label, text_equals
 
 
@@ -38,8 +39,8 @@ def _without(cond: F.Column, exclude_regions: Sequence[str]) -> F.Column:
 
 def top_position_counts(
     ranking: DataFrame,
-    year: str = "2017",
-    position: int = 1,
+    year: str = TOP_YEAR,
+    position: int = TOP_POSITION,
     k: int | None = None,
     exclude_regions: Sequence[str] = (),
 ) -> DataFrame:

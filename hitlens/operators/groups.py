@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitlens.constants import NULL_EPISODE, SERIES_TYPE
 from hitlens.functions import label, split_words
 
 
 def series_mean(
     ratings: DataFrame,
-    series_type: str = "TV_SERIES",
-    excluded_episode: str = "null",
+    series_type: str = SERIES_TYPE,
+    excluded_episode: str = NULL_EPISODE,
 ) -> DataFrame:
     """Mean rating per ``series#year`` over rows of ``series_type`` with an episode.
 

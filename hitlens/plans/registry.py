@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitlens.constants import SERIES_TYPE
 from hitlens.functions import strip_commas
 from hitlens.operators.candidates import flatten_artists, flatten_works
 from hitlens.operators.charts import top_artists, top_position_counts, top_songs
@@ -23,7 +24,6 @@ YEAR = "1997"
 HOLIDAY_DATE = "1997-12-01"
 REGION = "NATION_7"
 REGION_DATE = "1997-09-01"
-SERIES_TYPE = "TV_SERIES"
 TOP_K = 10
 
 ARTIST_ORDER = ("page", "pos")

@@ -63,3 +63,31 @@ def test_enriched_csv_keeps_input_order_and_strips(spark, scratch):
     assert [w.split(",")[0] for w in written] == [str(i) for i in range(40)]
     assert written[1] == "1,T1 x,A,1,u,d,cl,NONE,NONE"
     assert written[10] == "10,T10 x,A,10,u,d,cl,NONE,NONE"
+
+
+def test_named_writers_use_original_headers(spark, scratch):
+    from hitlens.operators.enrich import enrich_ranking
+    from hitlens.sinks import write_extended_ranking, write_resolved
+    from hitlens.sources import read_extension, read_ranking
+
+    src = os.path.join(scratch, "rank.csv")
+    with open(src, "w") as f:
+        f.write("Position,Track Name,Artist,Streams,URL,Date,Region\n2,B,A,5,u,d,cl\n1,\"S, x\",A,7,u,d,cl\n")
+    ext = os.path.join(scratch, "ext.csv")
+    with open(ext, "w") as f:
+        f.write("artist,song,result_artist,country,starting_place\n\nA,\"S, x (live)\",,CL,Lima\n")
+    out = os.path.join(scratch, "extended")
+    write_extended_ranking(enrich_ranking(read_ranking(spark, src), read_extension(spark, ext)), out)
+    text = "".join(open(f).read() for f in sorted(glob.glob(out + "/part-*")))
+    assert text.splitlines() == [
+        "Position,Track Name,Artist,Streams,URL,Date,Region,Country,Begin_area",
+        "2,B,A,5,u,d,cl,NONE,NONE",
+        "1,S x,A,7,u,d,cl,CL,Lima",
+    ]
+    resolved = spark.createDataFrame([("A, B", "S", "A B", "CL", "x, y")],
+                                     "artist string, song string, result_artist string, country string, starting_place string")
+    out2 = os.path.join(scratch, "resolved")
+    write_resolved(resolved, out2)
+    files = [open(f).read().splitlines() for f in sorted(glob.glob(out2 + "/part-*"))]
+    assert {f[0] for f in files if f} == {"artist,song,result_artist,country,starting_place"}
+    assert [ln for f in files for ln in f[1:]] == ["A B,S,A B,CL,x y"]
