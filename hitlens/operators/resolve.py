@@ -21,6 +21,11 @@ best candidate and the best work can be part of the answer, and the id join
 is 1:1 between those two reductions: no candidate x work product is formed,
 even for a shared or empty id. Both reductions and the per-request pick are
 ``min``/``min_by`` aggregations, combined map-side before their shuffle.
+
+Fan-out: a request meets the reduced candidates of its own artist query
+(one row per artist id), so its join rows are bounded by that query's
+search response, not by the size of the hit tables; nothing is capped or
+dropped. The artist-only arm runs once per distinct artist, not per pair.
 """
 
 from __future__ import annotations
