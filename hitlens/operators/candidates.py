@@ -43,13 +43,25 @@ WORK_SCHEMA = (
 XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
 
 
+def _explode_present(df: DataFrame, keep: Sequence[str], array: F.Column, pos: str, value: str) -> DataFrame:
+    """``posexplode`` that parses each document once.
+
+    For a plain ``posexplode`` Spark infers a ``size(array) > 0`` filter and
+    places it below the projection, which evaluates ``from_xml`` a second
+    time per document. The outer form infers nothing; its one null row for
+    an empty or missing list is dropped after the explode instead.
+    """
+    rows = df.select(*keep, F.posexplode_outer(array).alias(pos, value))
+    return rows.where(F.col(pos).isNotNull())
+
+
 def flatten_artists(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("query", "page")) -> DataFrame:
     """One row per artist element: ``keep`` + (pos, name, country, arid, begin_area).
 
     ``pos`` is the element's position in its document; absent attributes are ``''``.
     """
     parsed = docs.select(*keep, F.from_xml(F.col(doc), ARTIST_SCHEMA, XML_OPTIONS).alias("x"))
-    rows = parsed.select(*keep, F.posexplode(F.col("x")[ARTIST_LIST][ARTIST]).alias("pos", "a"))
+    rows = _explode_present(parsed, keep, F.col("x")[ARTIST_LIST][ARTIST], "pos", "a")
     a = F.col("a")
     return rows.select(
         *keep,
@@ -70,7 +82,7 @@ def flatten_works(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("que
     (page, pos, item) is the document order of the unrolled list.
     """
     parsed = docs.select(*keep, F.from_xml(F.col(doc), WORK_SCHEMA, XML_OPTIONS).alias("x"))
-    works = parsed.select(*keep, F.posexplode(F.col("x")[WORK_LIST][WORK]).alias("pos", "w"))
+    works = _explode_present(parsed, keep, F.col("x")[WORK_LIST][WORK], "pos", "w")
     artists = F.flatten(
         F.transform(
             F.filter(F.col("w")[RELATION_LIST], lambda rl: rl[f"_{TARGET_TYPE}"] == F.lit(ARTIST_TARGET)),
@@ -82,8 +94,8 @@ def flatten_works(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("que
             ),
         )
     )
-    rows = works.select(*keep, "pos", F.col("w")["title"].alias("title"),
-                        F.posexplode(artists).alias("item", "a"))
+    rows = _explode_present(works.select(*keep, "pos", F.col("w")["title"].alias("title"), artists.alias("_arts")),
+                            [*keep, "pos", "title"], F.col("_arts"), "item", "a")
     return rows.select(
         *keep,
         "pos",
