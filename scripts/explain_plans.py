@@ -38,7 +38,7 @@ def main() -> None:
         df = QUERIES[name](tables)
         qe = df._jdf.queryExecution()
         qe.toRdd().count()  # runs this plan itself, so AQE's final plan is attached
-        plan = qe.executedPlan().toString()
+        plan = qe.executedPlan().toString().split("+- == Initial Plan ==")[0]
         print(f"## {name}\n\n```")
         for line in plan.splitlines():
             print(tidy(line))
