@@ -206,6 +206,38 @@ def work_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chart_artist_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate artists for the chart's own artists (part brands).
+
+    Supplier k is a candidate, named ``Brand#<k % 25 + 1> & <s_name>``, for
+    the query of that brand.
+    """
+    sup = _suppliers(spark, sf_dir)
+    brand = F.concat(F.lit("Brand#"), ((F.col("s_suppkey") % 25) + 1).cast("string"))
+    return sup.select(
+        F.lower(brand).alias("query"),
+        F.col("s_suppkey").alias("ord"),
+        F.concat(brand, F.lit(" & "), F.col("s_name")).alias("name"),
+        "country",
+        F.col("s_suppkey").cast("string").alias("arid"),
+        "begin_area",
+    )
+
+
+def chart_work_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate works for the chart's own songs: every supplied (supplier, part name) pair."""
+    lineitem = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    pairs = lineitem.join(part, lineitem.l_partkey == part.p_partkey).select("l_suppkey", "p_name").distinct()
+    return pairs.select(
+        F.lower("p_name").alias("query"),
+        F.col("l_suppkey").alias("ord"),
+        F.col("l_suppkey").cast("string").alias("arid"),
+        F.concat(F.lit("Artist "), F.col("l_suppkey").cast("string")).alias("name"),
+        F.col("p_name").alias("title"),
+    )
+
+
 def _xml_text(c: F.Column) -> F.Column:
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
                      F.lit(">"), F.lit("&gt;"))
@@ -298,6 +330,12 @@ class Tables:
     def work_documents(self) -> DataFrame:
         return work_documents(self.spark, self.sf_dir)
 
+    def chart_artist_hits(self) -> DataFrame:
+        return chart_artist_hits(self.spark, self.sf_dir)
+
+    def chart_work_hits(self) -> DataFrame:
+        return chart_work_hits(self.spark, self.sf_dir)
+
     def artist_candidates(self) -> DataFrame:
         """Flattened artist pages (parsed once, then read by resolution)."""
         from hitlens.operators.candidates import flatten_artists
@@ -311,7 +349,7 @@ class Tables:
 
 
 STORED = ("chart", "extension", "series", "requests", "artist_documents", "work_documents",
-          "artist_candidates", "work_candidates")
+          "artist_candidates", "work_candidates", "chart_artist_hits", "chart_work_hits")
 
 
 class StoredTables(Tables):
@@ -367,6 +405,12 @@ class StoredTables(Tables):
     def work_documents(self) -> DataFrame:
         return self._stored("work_documents")
 
+    def chart_artist_hits(self) -> DataFrame:
+        return self._stored("chart_artist_hits")
+
+    def chart_work_hits(self) -> DataFrame:
+        return self._stored("chart_work_hits")
+
     def artist_candidates(self) -> DataFrame:
         return self._stored("artist_candidates")
 

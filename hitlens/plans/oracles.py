@@ -116,6 +116,42 @@ just_artist AS (
 )"""
 
 
+RESOLVED = """
+resolved AS (
+  SELECT q.artist, q.song, coalesce(x.name, '') AS result_artist, coalesce(x.country, '') AS country,
+         coalesce(x.begin_area, '') AS starting_place
+  FROM requests q LEFT JOIN (
+    SELECT * FROM (
+      SELECT *, row_number() OVER (PARTITION BY artist, song ORDER BY tier, score, a_ord, w_ord, w_title) AS rn
+      FROM (SELECT artist, song, name, country, begin_area, 0 AS tier, score, a_ord, w_ord, w_title FROM backed
+            UNION ALL
+            SELECT artist, song, name, country, begin_area, 1, score, a_ord, NULL, NULL FROM just_artist) u
+    ) r WHERE rn = 1
+  ) x ON q.artist = x.artist AND q.song = x.song
+)"""
+
+# End-to-end: the chart's own pairs resolved against candidates derived for
+# them, and the resolved pairs (in (artist, song) order) used as origins.
+CHAIN_INPUTS = """
+requests AS (SELECT DISTINCT artist, track AS song FROM chart),
+ahits AS (
+  SELECT lower('Brand#' || CAST(s_suppkey % 25 + 1 AS VARCHAR)) AS query, s_suppkey AS ord,
+         'Brand#' || CAST(s_suppkey % 25 + 1 AS VARCHAR) || ' & ' || s_name AS name, country,
+         CAST(s_suppkey AS VARCHAR) AS arid, begin_area
+  FROM sup
+),
+whits AS (
+  SELECT DISTINCT lower(p_name) AS query, l_suppkey AS ord, CAST(l_suppkey AS VARCHAR) AS arid,
+         'Artist ' || CAST(l_suppkey AS VARCHAR) AS name, p_name AS title
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+)"""
+
+CHAIN_EXT = """
+ext AS (
+  SELECT row_number() OVER (ORDER BY artist, song) AS ord, artist, song, country, starting_place FROM resolved
+)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip() for c in ctes) + "\n"
 
@@ -171,23 +207,14 @@ ORACLES: dict[str, str] = {
         "FROM (SELECT *, row_number() OVER (PARTITION BY artist, song, arid ORDER BY score, a_ord, w_ord, w_title) AS rn\n"
         "      FROM backed) b WHERE rn = 1"
     ),
-    "resolve_pairs": _with(SUP, REQUESTS, AHITS, WHITS, BACKED) + (
-        "SELECT q.artist, q.song, coalesce(x.name, '') AS result_artist, coalesce(x.country, '') AS country,\n"
-        "       coalesce(x.begin_area, '') AS starting_place\n"
-        "FROM requests q LEFT JOIN (\n"
-        "  SELECT * FROM (\n"
-        "    SELECT *, row_number() OVER (PARTITION BY artist, song ORDER BY tier, score, a_ord, w_ord, w_title) AS rn\n"
-        "    FROM (SELECT artist, song, name, country, begin_area, 0 AS tier, score, a_ord, w_ord, w_title FROM backed\n"
-        "          UNION ALL\n"
-        "          SELECT artist, song, name, country, begin_area, 1, score, a_ord, NULL, NULL FROM just_artist) u\n"
-        "  ) r WHERE rn = 1\n"
-        ") x ON q.artist = x.artist AND q.song = x.song"
-    ),
+    "resolve_pairs": _with(SUP, REQUESTS, AHITS, WHITS, BACKED, RESOLVED) + "SELECT * FROM resolved",
     "containment_match": _with(CHART, EXT, BEST_MATCH) + "SELECT la, lt, country, begin_area FROM best",
     "enrich_ranking": _with(CHART, EXT, BEST_MATCH, ENRICHED) + "SELECT * FROM enriched",
     "enrich_artist_totals": _with(CHART, EXT, BEST_MATCH, ENRICHED) + (
         "SELECT CAST(sum(streams) AS BIGINT) AS streams, artist FROM enriched WHERE region = 'NATION_7' GROUP BY artist"
     ),
+    "enrich_from_resolved": _with(CHART, SUP, CHAIN_INPUTS, BACKED, RESOLVED, CHAIN_EXT, BEST_MATCH, ENRICHED)
+    + "SELECT * FROM enriched",
     "strip_commas": _with(CHART) + (
         "SELECT position, replace(track, ',', '') AS track, replace(artist, ',', '') AS artist, streams,\n"
         "       replace(url, ',', '') AS url, replace(date, ',', '') AS date, replace(region, ',', '') AS region\n"

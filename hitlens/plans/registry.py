@@ -51,6 +51,17 @@ def q_containment_match(t: Tables) -> DataFrame:
     return containment_match(needles, last_matches(t.extension()))
 
 
+def q_enrich_from_resolved(t: Tables) -> DataFrame:
+    """Ranking -> distinct pairs -> resolution -> resolved pairs as the origin table -> enrichment.
+
+    The resolved file's order is (artist, song); the struct ordinal keeps it.
+    """
+    chart = t.chart()
+    resolved = resolve_pairs(distinct_pairs(chart), t.chart_artist_hits(), t.chart_work_hits())
+    origins = resolved.select(F.struct("artist", "song").alias("ord"), "artist", "song", "country", "starting_place")
+    return enrich_ranking(chart, origins)
+
+
 def q_strip_commas(t: Tables) -> DataFrame:
     chart = t.chart()
     return chart.select("position", *[strip_commas(c).alias(c) for c in ("track", "artist")], "streams",
@@ -96,6 +107,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "enrich_ranking": lambda t: enrich_ranking(t.chart(), t.extension()),
     "enrich_artist_totals": lambda t: top_artists(enrich_ranking(t.chart(), t.extension()), region=REGION),
     "strip_commas": q_strip_commas,
+    "enrich_from_resolved": q_enrich_from_resolved,
     # The same jobs fed through the file sources (written, then read back).
     "top_position_counts_from_csv": q_top_position_counts_from_csv,
     "enrich_ranking_from_files": q_enrich_ranking_from_files,
