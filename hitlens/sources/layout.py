@@ -12,7 +12,8 @@ def spread_small_inputs(df: DataFrame, slots: int | None = None) -> DataFrame:
     single task, and so is all per-row work after it until the first
     shuffle. When that work is heavy per byte (splitting texts, parsing
     documents), a round-robin repartition right after the read is the cheap
-    fix. A well-split input (the normal case on a large table) is returned
+    fix. It is applied only when fewer than half of the task slots would be
+    busy; a well-split input (the normal case on a large table) is returned
     unchanged, so no shuffle is added there.
 
     Call this on a plain scan (no shuffle below it): the split count is then
@@ -23,4 +24,4 @@ def spread_small_inputs(df: DataFrame, slots: int | None = None) -> DataFrame:
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave the layout alone
         return df
-    return df.repartition(target) if splits < target else df
+    return df.repartition(target) if 2 * splits <= target else df
