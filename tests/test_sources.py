@@ -75,3 +75,20 @@ def test_series_tsv_rules(spark, scratch):
 def test_read_lines(spark, scratch):
     p = write(scratch, "t.txt", "a b\n\nc\n")
     assert [r.value for r in read_lines(spark, p).collect()] == ["a b", "", "c"]
+
+
+def test_spread_only_inputs_with_few_splits(spark, scratch):
+    from hitlens.sources.layout import spread_small_inputs
+
+    one = os.path.join(scratch, "one")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    assert spread_small_inputs(spark.read.parquet(one), slots=8).rdd.getNumPartitions() == 8
+    many = os.path.join(scratch, "many")
+    spark.range(1000).repartition(6).write.parquet(many)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        df = spark.read.parquet(many)
+        assert df.rdd.getNumPartitions() >= 4
+        assert spread_small_inputs(df, slots=8) is df
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
