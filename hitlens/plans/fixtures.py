@@ -363,20 +363,16 @@ class StoredTables(Tables):
     def materialize(cls, spark: SparkSession, sf_dir: str, root: str) -> "StoredTables":
         """Write the derived inputs as a production job would store them.
 
-        The ranking is partitioned by region (region reports read one
-        directory) and sorted by date within its files (date filters skip
-        row groups by their min/max statistics). A range partitioning on
-        (region, date) gives each writer task a contiguous slice, so most
-        regions land in one file while a hot region is split over several
-        tasks instead of one.
+        The ranking gets the report layout of ``write_ranking_table``
+        (partitioned by region, sorted by date).
         """
+        from hitlens.sinks import write_ranking_table
+
         derived = Tables(spark, sf_dir)
-        slots = spark.sparkContext.defaultParallelism
         for name in STORED:
             df = getattr(derived, name)()
             if name == "chart":
-                df = df.repartitionByRange(slots, "region", "date").sortWithinPartitions("region", "date")
-                df.write.mode("overwrite").partitionBy("region").parquet(f"{root}/{name}")
+                write_ranking_table(df, f"{root}/{name}", mode="overwrite")
             else:
                 df.write.mode("overwrite").parquet(f"{root}/{name}")
         return cls(spark, sf_dir, root)
