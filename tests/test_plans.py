@@ -48,3 +48,7 @@ def test_region_report_prunes_partitions(spark, scratch):
     text = plan(top_artists(stored.chart(), "NATION_7"))
     assert "PartitionFilters: [isnotnull(region" in text and "(region" in text and "= NATION_7)" in text
     assert "ReadSchema: struct<artist:string,streams:bigint>" in text
+    from hitlens.operators.charts import top_songs
+
+    dated = plan(top_songs(stored.chart(), "1997-09-01", region="NATION_7"))
+    assert "EqualTo(date,1997-09-01)" in dated and "PartitionFilters: [isnotnull(region" in dated
