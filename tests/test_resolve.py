@@ -84,3 +84,16 @@ def test_matches_brute_force_on_derived_tables(spark):
     assert got == expected
     kinds = {(r[2] != "", r[1] == "zzz") for r in got}
     assert {(True, False), (True, True), (False, False)} <= kinds
+
+
+def test_shared_empty_id_forms_no_product(spark):
+    from hitlens.operators.resolve import related_works
+
+    n = 60
+    ahits = [("a", i, "A" + "x" * (i % 7), "C", "", "P") for i in range(n)]
+    whits = [("s", i, "", "S" + "y" * (i % 5)) for i in range(n)]
+    req = spark.createDataFrame([("A", "S")], "artist string, song string")
+    rel = related_works(req, spark.createDataFrame(ahits, AH), spark.createDataFrame(whits, WH))
+    rows = rel.collect()
+    assert len(rows) == 1  # one row per (request, id), not n * n candidate-work pairs
+    assert (rows[0].score, rows[0].a_ord.a0, rows[0].w_ord.w0) == (0, 0, 0)
