@@ -91,3 +91,21 @@ def test_named_writers_use_original_headers(spark, scratch):
     files = [open(f).read().splitlines() for f in sorted(glob.glob(out2 + "/part-*"))]
     assert {f[0] for f in files if f} == {"artist,song,result_artist,country,starting_place"}
     assert [ln for f in files for ln in f[1:]] == ["A B,S,A B,CL,x y"]
+
+
+def test_ranking_table_splits_a_hot_region(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from hitlens.sinks import write_ranking_table
+
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot")).alias("region"),
+        F.format_string("2017-01-%02d", (F.col("id") % 28 + 1).cast("int")).alias("date"),
+        F.col("id").cast("string").alias("streams"),
+    )
+    out = os.path.join(scratch, "ranking")
+    write_ranking_table(rows, out, files=4)
+    hot_files = glob.glob(os.path.join(out, "region=hot", "*.parquet"))
+    assert len(hot_files) >= 3  # the region with 90% of the rows is written by several tasks
+    back = spark.read.parquet(out)
+    assert back.count() == 4000 and back.where("region = 'cold'").count() == 400
