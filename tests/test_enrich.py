@@ -88,3 +88,16 @@ def test_matches_brute_force_on_derived_tables(spark, hot):
     )
     assert len(got) == 5884
     assert got == expected
+
+
+def test_intermediates_go_to_the_shared_folder(spark):
+    import glob
+    import os
+
+    shared = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(glob.glob(os.path.join(shared, "enrich-*")))
+    ext = [(1, "A", "S", "CL", "P")]
+    out = enrich(spark, [row("S", "A")], ext)
+    assert out == [("S", "A", "CL", "P")]
+    written = set(glob.glob(os.path.join(shared, "enrich-*"))) - before
+    assert {os.path.basename(p).rsplit("-", 1)[0] for p in written} == {"enrich-origins", "enrich-answers"}
