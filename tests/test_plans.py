@@ -52,3 +52,13 @@ def test_region_report_prunes_partitions(spark, scratch):
 
     dated = plan(top_songs(stored.chart(), "1997-09-01", region="NATION_7"))
     assert "EqualTo(date,1997-09-01)" in dated and "PartitionFilters: [isnotnull(region" in dated
+
+
+def test_enriched_ranking_is_joined_without_a_shuffle(spark, scratch):
+    from hitlens.operators.enrich import enrich_ranking
+    from hitlens.plans.fixtures import StoredTables
+
+    stored = StoredTables.materialize(spark, SF_SMALL, scratch + "/stored")
+    text = final_plan(enrich_ranking(stored.chart(), stored.extension()))
+    assert "BroadcastHashJoin" in text and "LeftOuter, BuildRight" in text
+    assert "Exchange hashpartitioning" not in text  # the ranking side is read in place
