@@ -28,11 +28,19 @@ def read_xml_documents(
 def read_response_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """One row per stored response file: (query, page, doc).
 
-    Each file is read whole (a response page is small); ``query`` is the
-    file name without extension and ``page`` 0, for files named per query.
-    Files are independent rows, so parsing them spreads over all tasks.
+    Each file is read whole (a response page is small). Files are named
+    ``<query>.xml`` or ``<query>.<page>.xml``; the page number (0 when
+    absent) keeps the pages of one query in order. Files are independent
+    rows, so parsing them spreads over all tasks.
     """
     paths = [path] if isinstance(path, str) else list(path)
     files = spark.read.option("wholetext", True).text(paths)
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
-    return files.select(name.alias("query"), F.lit(0).cast("bigint").alias("page"), F.col("value").alias("doc"))
+    pattern = r"^(.*?)(?:\.(\d+))?(?:\.[^.]*)?$"
+    # The metadata file name is URI-encoded; a literal '+' must survive decoding.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    page = F.regexp_extract(name, pattern, 2)
+    return files.select(
+        F.regexp_extract(name, pattern, 1).alias("query"),
+        F.when(page == "", F.lit(0)).otherwise(page).cast("bigint").alias("page"),
+        F.col("value").alias("doc"),
+    )

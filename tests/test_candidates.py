@@ -54,3 +54,30 @@ def test_response_files(spark, scratch):
                     "</artist></artist-list></metadata>\n")
     out = rows(flatten_artists(read_response_files(spark, scratch)), "query", "name", "arid")
     assert out == [("madonna", "Madonna", "madonna1"), ("prince", "Prince", "prince1")]
+
+
+def test_response_files_with_pages(spark, scratch):
+    import os
+
+    from hitlens.sources import read_response_files
+
+    def page(names):
+        items = "".join(f'<artist id="{n}"><name>{n}</name></artist>' for n in names)
+        return f'<metadata><artist-list count="{len(names)}">{items}</artist-list></metadata>'
+
+    for i, names in enumerate([["a", "b"], ["c"]]):
+        with open(os.path.join(scratch, f"x y.{i}.xml"), "w") as f:
+            f.write(page(names))
+    out = rows(flatten_artists(read_response_files(spark, scratch)), "query", "page", "pos", "name")
+    assert out == [("x y", 0, 0, "a"), ("x y", 0, 1, "b"), ("x y", 1, 0, "c")]
+
+
+def test_response_file_names_are_decoded(spark, scratch):
+    import os
+
+    from hitlens.sources import read_response_files
+
+    for q in ("a+b", "c%d", "e f#1"):
+        with open(os.path.join(scratch, f"{q}.xml"), "w") as f:
+            f.write('<metadata><artist-list count="0"/></metadata>')
+    assert sorted(r.query for r in read_response_files(spark, scratch).collect()) == ["a+b", "c%d", "e f#1"]
