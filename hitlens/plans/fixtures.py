@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitlens.functions import normalise_artist
+from hitlens.session import parallelism
 from hitlens.sources.layout import spread_small_inputs
 
 # Page size of a stored candidate response document (one search result page).
@@ -262,8 +263,7 @@ def _pages(items: DataFrame, order: list[str], root: str, list_tag: str) -> Data
     body = F.array_join(F.transform("items", lambda x: x["xml"]), "")
     # Pages are few but large and parsing is costly per byte: keep one
     # partition per task slot instead of letting AQE merge them by size.
-    slots = items.sparkSession.sparkContext.defaultParallelism
-    return grouped.repartition(slots, "query", "page").select(
+    return grouped.repartition(parallelism(items.sparkSession), "query", "page").select(
         "query", "page",
         F.concat(F.lit(f"<{root}><{list_tag} count=\""), F.size("items").cast("string"), F.lit("\">"),
                  body, F.lit(f"</{list_tag}></{root}>")).alias("doc"),

@@ -31,6 +31,14 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "hitle
     return spark
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (the configured shuffle partitions without a context)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
@@ -38,8 +46,14 @@ def shared_dir(spark: SparkSession) -> str:
     the loss of any executor. Only when the session has none (local tests)
     is a fresh local folder created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. Spark Connect)
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set") from None
+    current = sc.getCheckpointDir() or configured
     if current:
         return current
     if not sc.master.startswith("local"):

@@ -21,7 +21,7 @@ def spread_small_inputs(df: DataFrame, slots: int | None = None) -> DataFrame:
     """
     try:
         target = slots or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
+        splits = df.rdd.getNumPartitions()  # both need a SparkContext handle
     except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave the layout alone
         return df
     return df.repartition(target) if 2 * splits <= target else df
