@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from hitlens.plans.oracles import oracle_sql
+from hitlens.plans.registry import queries
 from scripts.check_oracles import compare, duck
 from tests.conftest import SF_SMALL
 
