@@ -17,7 +17,7 @@ from hitlens.session import stored_table_path
 SLOTS = 4096
 #: Each virtual slot is numbered in so many parts, so that no numbering
 #: window holds a whole slot.
-PARTS = 64
+PARTS = 16
 ROW_BYTES = 16
 
 
