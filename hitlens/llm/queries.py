@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hitlens.llm.line_dedup import LINE_SQL, line_digest
+from hitlens.llm.packing import packing_digest
 from hitlens.llm.quality import QUALITY_SQL, quality_digest
 from hitlens.llm.secrets import secrets_digest
 from hitlens.llm.sharding import shard_digest
+from hitlens.llm.simhash import simhash_digest
 from hitlens.llm.url_filter import url_digest
 
 
@@ -21,9 +24,12 @@ def _over_documents(digest: Callable[[DataFrame], DataFrame]) -> Callable[[Spark
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_near_dedup": _over_documents(simhash_digest),
     "op2_quality_ledger": _over_documents(quality_digest),
     "op3_virtual_slot_shards": _over_documents(shard_digest),
     "op5_url_filter": lambda spark, sf_dir: url_digest(table(spark, sf_dir, "pages")),
     "op6_secret_scan": _over_documents(secrets_digest),
+    "op8_line_dedup": _over_documents(line_digest),
+    "op9_best_two_fit_packing": _over_documents(packing_digest),
 }
-ORACLES: dict[str, str] = {"op2_quality_ledger": QUALITY_SQL}
+ORACLES: dict[str, str] = {"op2_quality_ledger": QUALITY_SQL, "op8_line_dedup": LINE_SQL}
