@@ -61,17 +61,18 @@ def hit_windows(texts: DataFrame, windows: DataFrame, spans: list[int]) -> DataF
     are compared word by word.
     """
     out = None
+    # The outer forms of explode: the others push a filter that recomputes the array below it.
     for span in spans:
         gram = gram_of(span)
         known = stored(windows.where(F.col("span") == span).groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("items")), "benchmark-windows")
         marks = with_window_marks(known, span, gram).select(F.col("marks")[0].alias("mark")).distinct()
         rows = texts.withColumn("words", words_of(F.col("text"))).drop("text")
-        sparse = with_window_marks(rows, span, gram).select("doc", "text_hash", F.explode(F.array_distinct("marks")).alias("mark"))
+        sparse = with_window_marks(rows, span, gram).select("doc", "text_hash", F.explode_outer(F.array_distinct("marks")).alias("mark"))
         suspects = stored(sparse.join(marks, "mark", "left_semi").groupBy("doc", "text_hash").agg(F.collect_set("mark").alias("suspect_marks")), "suspects")
         same = texts["doc"].eqNullSafe(suspects["doc"]) & (texts["text_hash"] == suspects["text_hash"])
         again = texts.join(suspects, same).select(texts["doc"], texts["text_hash"], texts["text"], "suspect_marks")
         again = with_window_marks(again.withColumn("words", words_of(F.col("text"))).drop("text"), span, gram)
-        spot = again.select("doc", "text_hash", "suspect_marks", "words", F.posexplode("marks").alias("at", "mark")).where(F.array_contains("suspect_marks", F.col("mark")))
+        spot = again.select("doc", "text_hash", "suspect_marks", "words", F.posexplode_outer("marks").alias("at", "mark")).where(F.array_contains("suspect_marks", F.col("mark")))
         extended = spot.select("doc", "text_hash", "at", F.slice("words", F.col("at") + 1, F.lit(span)).alias("words"))
         hits = extended.join(known, "words").select("doc", "text_hash", "at", F.lit(span).alias("span"), "items")
         out = hits if out is None else out.unionByName(hits)

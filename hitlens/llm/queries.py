@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hitlens.llm.decontaminate import CONTAMINATION_SQL, contamination_digest
 from hitlens.llm.line_dedup import LINE_SQL, line_digest
 from hitlens.llm.packing import packing_digest
 from hitlens.llm.quality import QUALITY_SQL, quality_digest
@@ -27,9 +28,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": _over_documents(simhash_digest),
     "op2_quality_ledger": _over_documents(quality_digest),
     "op3_virtual_slot_shards": _over_documents(shard_digest),
+    "op4_winnowing_decontamination": lambda spark, sf_dir: contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op5_url_filter": lambda spark, sf_dir: url_digest(table(spark, sf_dir, "pages")),
     "op6_secret_scan": _over_documents(secrets_digest),
     "op8_line_dedup": _over_documents(line_digest),
     "op9_best_two_fit_packing": _over_documents(packing_digest),
 }
-ORACLES: dict[str, str] = {"op2_quality_ledger": QUALITY_SQL, "op8_line_dedup": LINE_SQL}
+ORACLES: dict[str, str] = {"op2_quality_ledger": QUALITY_SQL, "op4_winnowing_decontamination": CONTAMINATION_SQL, "op8_line_dedup": LINE_SQL}
