@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hitlens.llm.decontaminate import CONTAMINATION_SQL, contamination_digest
 from hitlens.llm.line_dedup import LINE_SQL, line_digest
+from hitlens.llm.lm_score import lm_digest
 from hitlens.llm.packing import packing_digest
 from hitlens.llm.quality import QUALITY_SQL, quality_digest
 from hitlens.llm.secrets import secrets_digest
@@ -33,5 +34,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scan": _over_documents(secrets_digest),
     "op8_line_dedup": _over_documents(line_digest),
     "op9_best_two_fit_packing": _over_documents(packing_digest),
+    "op10_ppm_score": _over_documents(lm_digest),
 }
 ORACLES: dict[str, str] = {"op2_quality_ledger": QUALITY_SQL, "op4_winnowing_decontamination": CONTAMINATION_SQL, "op8_line_dedup": LINE_SQL}
