@@ -14,6 +14,7 @@ from hitlens.llm.quality import QUALITY_SQL, quality_digest
 from hitlens.llm.secrets import secrets_digest
 from hitlens.llm.sharding import shard_digest
 from hitlens.llm.simhash import simhash_digest
+from hitlens.llm.suffixes import suffix_digest
 from hitlens.llm.url_filter import url_digest
 
 
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_winnowing_decontamination": lambda spark, sf_dir: contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op5_url_filter": lambda spark, sf_dir: url_digest(table(spark, sf_dir, "pages")),
     "op6_secret_scan": _over_documents(secrets_digest),
+    "op7_suffix_dedup": _over_documents(suffix_digest),
     "op8_line_dedup": _over_documents(line_digest),
     "op9_best_two_fit_packing": _over_documents(packing_digest),
     "op10_ppm_score": _over_documents(lm_digest),
