@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hitlens.llm.decontaminate import CONTAMINATION_SQL, contamination_digest
-from hitlens.llm.line_dedup import LINE_SQL, line_digest
+from hitlens.llm.line_dedup import LINE_SQL, file_batches, line_digest
 from hitlens.llm.lm_score import lm_digest
 from hitlens.llm.packing import packing_digest
 from hitlens.llm.quality import QUALITY_SQL, quality_digest
@@ -34,7 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filter": lambda spark, sf_dir: url_digest(table(spark, sf_dir, "pages")),
     "op6_secret_scan": _over_documents(secrets_digest),
     "op7_suffix_dedup": _over_documents(suffix_digest),
-    "op8_line_dedup": _over_documents(line_digest),
+    "op8_line_dedup": lambda spark, sf_dir: line_digest(file_batches(spark, f"{sf_dir}/documents.parquet")),
     "op9_best_two_fit_packing": _over_documents(packing_digest),
     "op10_ppm_score": _over_documents(lm_digest),
 }

@@ -54,14 +54,14 @@ def fingerprint(raw: bytes, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str, text: str, size: int = SHINGLE) -> DataFrame:
-    """(key, fp) per row; fp holds the 64 bits as a signed long."""
+    """(key, fp, text_hash) per row; fp holds the 64 bits as a signed long."""
     bounded_batches(docs.sparkSession)
 
     @arrow_udf(T.LongType())
     def mark(column: pa.Array) -> pa.Array:
         return pa.array(np.array([fingerprint(raw, size) for raw in utf8(column)], np.uint64).view(np.int64))
 
-    return docs.select(F.col(key).alias("key"), mark(F.col(text).cast("string")).alias("fp"))
+    return docs.select(F.col(key).alias("key"), mark(F.col(text).cast("string")).alias("fp"), F.xxhash64(F.col(text)).alias("text_hash"))
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -175,6 +175,19 @@ def links(nodes: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> Dat
     return met.mapInArrow(meet, "u long, v long").distinct()
 
 
+def grouped(docs: DataFrame, key: str, text: str, size: int, distance: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """The marked rows (key, fp, text_hash), and (fp, root, component_id) of each distinct fingerprint."""
+    marked = stored(fingerprints(docs, key, text, size), "fingerprints")
+    nodes = stored(marked.groupBy("fp").agg(F.min("key").alias("least")), "fingerprint-nodes")
+    found = components(links(nodes, distance, block)).withColumnsRenamed({"node": "fp"})
+    rooted = found.join(nodes, "fp")
+    least = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    linked = rooted.join(least, "root").select("fp", "root", "component")
+    alone = F.col("root").isNull()
+    named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(alone, F.col("least")).otherwise(F.col("component")).alias("component_id"))
+    return marked, named
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
                     distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
     """Per row: key, fp and component_id, the smallest key reachable over links of at most ``distance`` bits.
@@ -184,15 +197,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     Null keys never win; a component of null keys only has a null id. An empty
     table gives an empty result.
     """
-    marked = stored(fingerprints(docs, key, text, size), "fingerprints")
-    nodes = stored(marked.groupBy("fp").agg(F.min("key").alias("least")), "fingerprint-nodes")
-    found = components(links(nodes, distance, block)).withColumnsRenamed({"node": "fp"})
-    rooted = found.join(nodes, "fp")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    linked = rooted.join(least, "root").select("fp", "component", F.lit(True).alias("linked"))
-    named = nodes.join(linked, "fp", "left").select("fp", F.when(F.col("linked"), F.col("component")).otherwise(F.col("least")).alias("component_id"))
+    marked, named = grouped(docs, key, text, size, distance, block)
     return marked.join(named, "fp").select("key", "fp", "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
+                         distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
+    """One row of each component, with its own columns: that of the smallest key
+    (null is the largest), and of these the smallest fingerprint and text hash.
+    Of repeated rows one stays."""
+    marked, named = grouped(docs, key, text, size, distance, block)
+    rows = marked.join(named, "fp").groupBy("root", "key", "fp", "text_hash").agg(F.count("*").alias("n"))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "fp", "text_hash", "n")).alias("m"))
+    stay = stored(first.select(F.col("m.key").alias("_stay"), F.col("m.text_hash").alias("_stay_text"), F.col("m.n").alias("_copies")), "survivors")
+    same = F.col(key).eqNullSafe(F.col("_stay")) & (F.xxhash64(F.col(text)) == F.col("_stay_text"))
+    only = lambda which: docs.join(stay.where(which), same, "left_semi")
+    # A row has copies only if key and text repeat; those alone are regrouped.
+    twice = only("_copies > 1").withColumn("_text", F.xxhash64(F.col(text))).dropDuplicates([key, "_text"]).drop("_text")
+    return only("_copies = 1").unionByName(twice)
+
+
 def simhash_digest(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select(F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -84,7 +84,7 @@ def test_components_of_chains_hubs_and_repeats(spark):
 @pytest.mark.parametrize("docs_of", [awkward_documents, small_documents])
 def test_line_dedup_matches_sql(spark, docs_of):
     docs = docs_of(spark)
-    got, want = against_sql(line_dedup.line_digest(docs), line_dedup.LINE_SQL, documents=docs.select("doc_id", "text").toPandas().astype({"doc_id": "Int64"}))
+    got, want = against_sql(line_dedup.line_digest([docs]), line_dedup.LINE_SQL, documents=docs.select("doc_id", "text").toPandas().astype({"doc_id": "Int64"}))
     assert got == want
     assert sum(r[2] for r in got if len(r) > 2) >= 0
 
@@ -101,6 +101,13 @@ def test_line_batches_and_levels_agree_with_one_batch(spark):
     assert line_dedup.drop_repeated_lines([docs.limit(0)]).count() == 0
 
 
+def test_file_batches_hold_the_whole_table(spark, scratch):
+    docs = awkward_documents(spark)
+    docs.repartition(5).write.parquet(f"{scratch}/docs")
+    cut = line_dedup.file_batches(spark, f"{scratch}/docs", 3)
+    assert len(cut) == 3 and as_rows(cut[0].unionByName(cut[1]).unionByName(cut[2])) == as_rows(docs)
+
+
 def test_runs_tell_unseen_lines(spark):
     line = "a line that is long enough to be looked at, number {}"
     batch = lambda ids: line_dedup.document_lines(spark.createDataFrame([(i, line.format(i)) for i in ids], "doc_id long, text string"), "doc_id", "text")
