@@ -248,13 +248,16 @@ def repeated_windows(group: list[tuple[bytes, bytes, int]]) -> list[np.ndarray |
                 mark(i, low, high)
                 mark(j, low, high)
     else:
-        seen: dict[tuple[int, bytes], tuple[int, int]] = {}
-        for i, (right, left, _) in enumerate(group):
-            whole = left + right
-            for p in range(len(out[i])):
-                other = seen.setdefault((len(left) - p, whole[p : p + LENGTH]), (i, p))
-                if other[0] != i:
-                    out[i][p] = out[other[0]][other[1]] = True
+        lefts = [len(left) for _, left, _ in group]
+        wholes = [left + right for right, left, _ in group]
+        for offset in range(max(lefts) + 1):  # one offset at a time bounds what is held
+            seen: dict[bytes, int] = {}
+            for i, (n, whole) in enumerate(zip(lefts, wholes, strict=True)):
+                p = n - offset
+                if 0 <= p < len(out[i]):
+                    other = seen.setdefault(whole[p : p + LENGTH], i)
+                    if other != i:
+                        out[i][p] = out[other][lefts[other] - offset] = True
     return [None if n > 1 or marks.all() else marks for (_, _, n), marks in zip(group, out, strict=True)]
 
 
