@@ -28,7 +28,9 @@ SYMBOLS = 256
 #: The token that ends each document; no word is empty.
 END = b""
 #: Bytes of text whose grams are looked at together.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
+#: Text bytes of a packet.
+PACKET_BYTES = 16 << 20
 
 
 def held_out(key: Column) -> Column:
@@ -111,7 +113,7 @@ def ask(docs: DataFrame, key: str, text: str) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for packet, rows in packets(batches, 2):
+        for packet, rows in packets(batches, 2, PACKET_BYTES):
             yield from _asked(packet, rows)
 
     rows = docs.select(F.col(key).alias("key"), held_out(F.col(key)).alias("held"), F.col(text).cast("string").cast("binary").alias("text"))
@@ -250,10 +252,11 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
     def score(table: pa.Table) -> pa.Table:
         blob, word, code, value = (table.column(c) for c in ("blob", "word", "code", "value"))
-        rows = unpacked(blob.drop_null().to_pylist()[0])
+        rows = unpacked(blob.drop_null()[0].as_py())
         of_words, of_codes = word.is_valid(), code.is_valid()
         logs = dict(zip(word.filter(of_words).to_pylist(), np.log10(value.filter(of_words).to_numpy() + 1).tolist(), strict=True))
         slots = Slots(code.filter(of_codes).to_numpy(), value.filter(of_codes).to_numpy())
+        del table, blob, word, code, value
         return pa.Table.from_batches([score_packet(rows, logs, slots)])
 
     kind = docs.schema[key].dataType.simpleString()
