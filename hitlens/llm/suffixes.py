@@ -149,7 +149,8 @@ class Suffixes:
         some = np.flatnonzero(np.isin(spans.gram, grams))
         places: dict[tuple[bytes, bytes], list[int]] = {}
         columns = (spans.text[some], spans.first[some], spans.last[some], spans.anchor[some])
-        heads = spans.gram[some].astype(">u8").tobytes()
+        # Anchors have small hashes, being the least of their windows; spread them over all ranges.
+        heads = (spans.gram[some] * np.uint64(0x9E3779B97F4A7C15)).astype(">u8").tobytes()
         for n, (i, text, first, last, anchor) in enumerate(zip(some.tolist(), *(c.tolist() for c in columns), strict=True)):
             raw = spans.texts[text]
             places.setdefault((heads[8 * n : 8 * n + 8] + raw[anchor : last + LENGTH], raw[first:anchor]), []).append(i)

@@ -91,3 +91,5 @@ def test_front_coded_runs_round_trip():
     found = suffixes.Suffixes(spans, spans.gram)
     back = [(right, left) for _, run in found.runs(7) for _, right, left, _, _ in suffixes.decoded(run)]
     assert back == found.suffixes
+    sizes = [len(list(suffixes.decoded(run))) for _, run in found.runs(7)]
+    assert len(sizes) == 7 and max(sizes) < 3 * sum(sizes) / 7
