@@ -18,14 +18,12 @@ TOP_POSITION = 1
 TOP_YEAR = "2017"
 HOLIDAY_DATE = "2017-12-25"
 HOME_REGION = "cl"
-HOME_REGION_DATE = "2017-09-18"
 SERIES_TYPE = "TV_SERIES"
 
 # File layouts.
 RANKING_HEADER = ("Position", "Track Name", "Artist", "Streams", "URL", "Date", "Region")
 EXTENDED_HEADER = RANKING_HEADER + ("Country", "Begin_area")
 RESOLVED_HEADER = ("artist", "song", "result_artist", "country", "starting_place")
-EXTENSION_LEADING_LINES = 2  # header and one more line are skipped in the origin file
 SERIES_FIELD_POSITIONS = {2: "rating", 3: "series", 4: "year", 6: "type", 7: "episode"}
 
 # Element and attribute names of the search responses.
@@ -38,3 +36,6 @@ RELATION_LIST = "relation-list"
 RELATION = "relation"
 TARGET_TYPE = "target-type"
 ARTIST_TARGET = "artist"
+# The white space that is trimmed from element text.
+WHITE_SPACE = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")

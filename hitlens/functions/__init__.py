@@ -2,10 +2,10 @@
 
 from hitlens.functions.text import (
     blank_if_null,
-    contains_ignore_case,
     label,
     length_gap,
     normalise_artist,
+    parsed,
     split_words,
     strip_commas,
     text_equals,
@@ -13,10 +13,10 @@ from hitlens.functions.text import (
 
 __all__ = [
     "blank_if_null",
-    "contains_ignore_case",
     "label",
     "length_gap",
     "normalise_artist",
+    "parsed",
     "split_words",
     "strip_commas",
     "text_equals",

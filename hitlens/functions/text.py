@@ -62,9 +62,13 @@ def length_gap(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.abs(F.length(_col(a)) - F.length(_col(b)))
 
 
-def contains_ignore_case(haystack: ColumnOrName, needle: ColumnOrName) -> Column:
-    """``lower(needle)`` occurs in ``lower(haystack)``; an empty needle matches all."""
-    return F.lower(_col(haystack)).contains(F.lower(_col(needle)))
+def parsed(df: DataFrame, name: str, kind: str) -> Column:
+    """A column as a number; a text that isn't one fails the job whatever the session's ANSI setting."""
+    c = F.col(name)
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return c.cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"{name} is not a {kind}: "), c)).cast(kind)
+    return F.when(c.isNotNull() & c.try_cast(kind).isNull(), bad).otherwise(c.try_cast(kind))
 
 
 def split_words(c: ColumnOrName, keep_trailing: bool = True) -> Column:

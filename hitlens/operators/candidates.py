@@ -23,6 +23,7 @@ from hitlens.constants import (
     RELATION,
     RELATION_LIST,
     TARGET_TYPE,
+    WHITE_SPACE,
     WORK,
     WORK_LIST,
 )
@@ -30,17 +31,22 @@ from hitlens.functions import blank_if_null
 
 # Attributes are read with the "_" prefix; repeatable elements are arrays.
 ARTIST_SCHEMA = (
-    f"`{ARTIST_LIST}` STRUCT<_count: BIGINT, {ARTIST}: ARRAY<STRUCT<"
+    f"`{ARTIST_LIST}` STRUCT<{ARTIST}: ARRAY<STRUCT<"
     f"_id: STRING, name: STRING, country: STRING, `{BEGIN_AREA}`: STRUCT<name: STRING>>>>"
 )
 WORK_SCHEMA = (
-    f"`{WORK_LIST}` STRUCT<_count: BIGINT, {WORK}: ARRAY<STRUCT<"
+    f"`{WORK_LIST}` STRUCT<{WORK}: ARRAY<STRUCT<"
     f"title: STRING, `{RELATION_LIST}`: ARRAY<STRUCT<`_{TARGET_TYPE}`: STRING, "
     f"{RELATION}: ARRAY<STRUCT<{ARTIST}: ARRAY<STRUCT<_id: STRING, name: STRING>>>>>>>>>"
 )
-# Values keep their surrounding spaces: a name may end in one and still has to
-# match byte for byte.
-XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
+# Attribute values keep their surrounding spaces; element text is trimmed below.
+# A page that is no XML fails the job: a lost page would look like "no hits".
+XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST"}
+
+
+def _text(c: F.Column) -> F.Column:
+    """Element text without surrounding white space; absent or blank text is ``''``."""
+    return F.btrim(blank_if_null(c), F.lit(WHITE_SPACE))
 
 
 def _explode_present(df: DataFrame, keep: Sequence[str], array: F.Column, pos: str, value: str) -> DataFrame:
@@ -66,10 +72,10 @@ def flatten_artists(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("q
     return rows.select(
         *keep,
         "pos",
-        blank_if_null(a["name"]).alias("name"),
-        blank_if_null(a["country"]).alias("country"),
+        _text(a["name"]).alias("name"),
+        _text(a["country"]).alias("country"),
         blank_if_null(a["_id"]).alias("arid"),
-        blank_if_null(a[BEGIN_AREA]["name"]).alias("begin_area"),
+        _text(a[BEGIN_AREA]["name"]).alias("begin_area"),
     )
 
 
@@ -88,7 +94,8 @@ def flatten_works(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("que
             F.filter(F.col("w")[RELATION_LIST], lambda rl: rl[f"_{TARGET_TYPE}"] == F.lit(ARTIST_TARGET)),
             lambda rl: F.flatten(
                 F.transform(
-                    rl[RELATION],
+                    # A list or relation without content has no artists; it must not hide its siblings.
+                    F.coalesce(rl[RELATION], F.array().cast(f"array<struct<{ARTIST}:array<struct<_id:string,name:string>>>>")),
                     lambda r: F.coalesce(r[ARTIST], F.array().cast("array<struct<_id:string,name:string>>")),
                 )
             ),
@@ -101,6 +108,6 @@ def flatten_works(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("que
         "pos",
         "item",
         blank_if_null(F.col("a")["_id"]).alias("arid"),
-        blank_if_null(F.col("a")["name"]).alias("name"),
-        blank_if_null("title").alias("title"),
+        _text(F.col("a")["name"]).alias("name"),
+        _text(F.col("title")).alias("title"),
     )

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.constants import TOP_POSITION, TOP_YEAR
-from hitlens.functions import label, text_equals
+from hitlens.functions import label, parsed, text_equals
 
 
 def _ordered(df: DataFrame, value: str, key: str, k: int | None) -> DataFrame:
@@ -24,11 +24,11 @@ def _ordered(df: DataFrame, value: str, key: str, k: int | None) -> DataFrame:
     return out.limit(k) if k is not None else out
 
 
-def _streams_total() -> F.Column:
-    # Text streams are cast after the filter, so a malformed value in a row
+def _streams_total(ranking: DataFrame) -> F.Column:
+    # Text streams are parsed after the filter, so a malformed value in a row
     # that the report never looks at is ignored, and one in a kept row fails
-    # the job (ANSI cast), as an integer parse would.
-    return F.sum(F.col("streams").cast("bigint")).alias("streams")
+    # the job, as an integer parse would.
+    return F.sum(parsed(ranking, "streams", "bigint")).alias("streams")
 
 
 def _without(cond: F.Column, exclude_regions: Sequence[str]) -> F.Column:
@@ -67,12 +67,12 @@ def top_songs(
     if region is not None:
         cond = cond & (F.col("region") == F.lit(region))
     totals = ranking.where(_without(cond, exclude_regions)).groupBy(label("track", "artist").alias("label")).agg(
-        _streams_total()
+        _streams_total(ranking)
     )
     return _ordered(totals.select("streams", "label"), "streams", "label", k)
 
 
 def top_artists(ranking: DataFrame, region: str, k: int | None = None) -> DataFrame:
     """Total streams per artist in ``region`` over every date."""
-    totals = ranking.where(F.col("region") == F.lit(region)).groupBy("artist").agg(_streams_total())
+    totals = ranking.where(F.col("region") == F.lit(region)).groupBy("artist").agg(_streams_total(ranking))
     return _ordered(totals.select("streams", "artist"), "streams", "artist", k)

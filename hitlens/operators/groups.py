@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.constants import NULL_EPISODE, SERIES_TYPE
-from hitlens.functions import label, split_words
+from hitlens.functions import label, parsed, split_words
 
 
 def series_mean(
@@ -30,7 +30,7 @@ def series_mean(
     return (
         ratings.where(cond)
         .groupBy(label("series", "year").alias("label"))
-        .agg(F.avg(F.col("rating").cast("double")).alias("mean_rating"))
+        .agg(F.avg(parsed(ratings, "rating", "double")).alias("mean_rating"))
     )
 
 

@@ -22,10 +22,12 @@ is 1:1 between those two reductions: no candidate x work product is formed,
 even for a shared or empty id. Both reductions and the per-request pick are
 ``min``/``min_by`` aggregations, combined map-side before their shuffle.
 
-Fan-out: a request meets the reduced candidates of its own artist query
-(one row per artist id), so its join rows are bounded by that query's
-search response, not by the size of the hit tables; nothing is capped or
-dropped. The artist-only arm runs once per distinct artist, not per pair.
+Fan-out: hits of queries that nobody asks for are pruned first. Candidates and
+works then meet on the artist id, and only the (artist, song) queries so found
+meet the requests, on both columns at once: a request never meets a candidate
+without a work of its song. The empty id is no id to meet on; there, the one
+best candidate and the one best work of a request's two queries are looked up
+by query. The artist-only arm runs once per distinct artist, not per pair.
 """
 
 from __future__ import annotations
@@ -104,13 +106,17 @@ def related_works(
     Columns: artist, song, arid, score, a_ord, w_ord, hit (struct of the result fields).
     """
     req = _keyed_requests(requests)
+    artist_hits = artist_hits.join(req.select(F.col("a").alias("query")).distinct(), "query", "left_semi")
+    work_hits = work_hits.join(req.select(F.col("s").alias("query")).distinct(), "query", "left_semi")
     cands = best_candidates_per_id(artist_hits, artist_order).withColumnRenamed("query", "a")
     works = best_works_per_id(work_hits, work_order).withColumnRenamed("query", "s")
-    return (
-        req.join(cands, "a")
-        .join(works, ["s", "arid"])
-        .select("artist", "song", "arid", (F.col("cs") + F.col("ws")).alias("score"), "a_ord", "w_ord", "hit")
-    )
+    of_id = cands.where("arid <> ''").join(works.where("arid <> ''"), "arid")
+    by_id = req.join(of_id, ["a", "s"])
+    # At most one row per query on each side.
+    blank = req.join(cands.where("arid = ''"), "a").join(works.where("arid = ''").drop("arid"), "s")
+    columns = ["artist", "song", "arid", "cs", "ws", "a_ord", "w_ord", "hit"]
+    return by_id.select(columns).unionByName(blank.select(columns)).select(
+        "artist", "song", "arid", (F.col("cs") + F.col("ws")).alias("score"), "a_ord", "w_ord", "hit")
 
 
 def resolve_pairs(
@@ -119,9 +125,13 @@ def resolve_pairs(
     work_hits: DataFrame,
     artist_order: Sequence[str] = ("ord",),
     work_order: Sequence[str] = ("ord",),
+    keep: Sequence[str] = ("ord",),
 ) -> DataFrame:
     """(artist, song, result_artist, country, starting_place) for every request row.
 
+    Columns of ``keep`` that the requests have (the file ordinal by default)
+    come first, so that the result can be written in input order.
+
     ``artist_hits``: query, name, country, arid, begin_area + ``artist_order`` columns.
     ``work_hits``: query, arid, title + ``work_order`` columns.
     """
@@ -132,7 +142,8 @@ def resolve_pairs(
 
     # Artist-only arm depends on the original artist alone, not the song.
     originals = requests.select("artist").distinct().select("artist", normalise_artist("artist").alias("a"))
-    cands = _candidates(artist_hits, artist_order).withColumnRenamed("query", "a")
+    asked = originals.select(F.col("a").alias("query")).distinct()
+    cands = _candidates(artist_hits.join(asked, "query", "left_semi"), artist_order).withColumnRenamed("query", "a")
     only = (
         originals.join(cands, "a")
         .where(F.col("lname").contains(F.col("a")) | F.col("lname").contains(F.col("artist")))
@@ -141,9 +152,10 @@ def resolve_pairs(
     )
 
     best = F.coalesce(F.col("backed"), F.col("only"))
+    kept = [c for c in keep if c in requests.columns]
     return (
-        requests.select("artist", "song")
+        requests.select(*kept, "artist", "song")
         .join(backed, ["artist", "song"], "left")
         .join(only, "artist", "left")
-        .select("artist", "song", *[blank_if_null(best[f]).alias(f) for f in RESULT_FIELDS])
+        .select(*kept, "artist", "song", *[blank_if_null(best[f]).alias(f) for f in RESULT_FIELDS])
     )

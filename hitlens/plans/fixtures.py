@@ -12,12 +12,11 @@ derivations in SQL, independently of this code.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitlens.functions import normalise_artist
 from hitlens.session import parallelism
-from hitlens.sources.layout import spread_small_inputs
 
 # Page size of a stored candidate response document (one search result page).
 PAGE = 100
@@ -30,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily-ranking shaped table: one row per (track, artist, date, region).
 
-    track/artist = part name/brand, date = first day of the order month
+    track/artist = part name and number/brand (see ``_track``, ``_artist``), date = first day of the order month
     (text), region = customer nation, streams = total quantity, position =
     rank within (date, region) by streams desc, track, artist.
     """
@@ -46,17 +45,14 @@ def chart(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("o_orderkey", "date", "region")
     )
     lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    part = table(spark, sf_dir, "part").select(
-        "p_partkey", F.col("p_name").alias("track"), F.col("p_brand").alias("artist")
-    )
+    part = table(spark, sf_dir, "part").select("p_partkey", _track().alias("track"), _artist().alias("artist"))
     daily = (
         lineitem.join(order_dim, lineitem.l_orderkey == order_dim.o_orderkey)
         .join(part, lineitem.l_partkey == part.p_partkey)
         .groupBy("track", "artist", "date", "region")
         .agg(F.sum("l_quantity").cast("bigint").alias("streams"))
     )
-    # (date, region) has at most (months x nations) values and each holds at
-    # most (names x brands) rows, so every window partition is bounded.
+    # A window partition holds the tracks of one month in one nation.
     w = Window.partitionBy("date", "region").orderBy(F.col("streams").desc(), "track", "artist")
     return daily.select(
         F.row_number().over(w).alias("position"),
@@ -70,11 +66,24 @@ def chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _artist() -> Column:
+    """Artist of a part: its brand, for every fifth with a comma."""
+    return F.concat("p_brand", F.when(F.col("p_partkey") % 5 == 0, F.lit(", Jr.")).otherwise(F.lit("")))
+
+
+def _track() -> Column:
+    """Track of a part: its name and a number that grows with the parts, for every fourth with a comma."""
+    number = F.floor(F.col("p_partkey") / 4).cast("string")
+    return F.concat("p_name", F.when(F.col("p_partkey") % 4 == 0, F.lit(", pt. ")).otherwise(F.lit(" ")), number)
+
+
 def extension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Origin table (ord, artist, song, country, starting_place), one row per part.
+    """Origin table (ord, artist, song, country, starting_place): one row per part, and one per order.
 
-    ``country`` null marks a row of at most 3 fields, ``starting_place`` null
-    one of at most 4 fields; ``country`` is ``''`` for some rows.
+    Rows of parts hold the tracks of the chart, some inside longer titles;
+    rows of orders hold titles that mostly match nothing, but grow with the
+    input. ``country`` null marks a row of at most 3 fields,
+    ``starting_place`` null one of at most 4; ``country`` is ``''`` for some.
     """
     part = table(spark, sf_dir, "part")
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
@@ -85,15 +94,24 @@ def extension(spark: SparkSession, sf_dir: str) -> DataFrame:
         part.join(nation, (F.col("p_partkey") % 25) == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
-            F.col("p_partkey").alias("ord"),
-            F.col("p_brand").alias("artist"),
-            F.col("p_name").alias("song"),
+            (F.col("p_partkey") * 10).alias("ord"),
+            _artist().alias("artist"),
+            F.concat(_track(), F.when(F.col("p_partkey") % 3 == 0, F.lit(" (live)")).otherwise(F.lit(""))).alias("song"),
             F.when(short3, F.lit(None).cast("string"))
             .when(F.col("p_size") % 7 == 0, F.lit(""))
             .otherwise(F.col("n_name"))
             .alias("country"),
             F.when(short4, F.lit(None).cast("string")).otherwise(F.col("r_name")).alias("starting_place"),
         )
+        .unionByName(
+            table(spark, sf_dir, "orders").select(
+                (F.col("o_orderkey") * 10 + 1).alias("ord"),
+                F.concat(F.lit("Brand#"), (F.col("o_orderkey") % 60).cast("string"), F.lit(" and friends")).alias("artist"),
+                F.concat(F.lit("small red ring "), F.col("o_orderkey").cast("string")).alias("song"),
+                F.lit("ORDER").alias("country"),
+                F.col("o_orderpriority").alias("starting_place"),
+            )
+        )
     )
 
 
@@ -109,8 +127,16 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def padded_lines(texts: DataFrame) -> DataFrame:
+    """Lines of the texts, with double spaces after commas and up to two spaces at the end."""
+    from hitlens.operators.groups import lines_of
+
+    pad = F.repeat(F.lit(" "), (F.length("value") % 3).cast("int"))
+    return lines_of(texts).select(F.concat(F.replace("value", F.lit(", "), F.lit(",  ")), pad).alias("value"))
+
+
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small_inputs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 # ---------------------------------------------------------------- resolution
@@ -131,6 +157,8 @@ def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(k % 9 == 0, F.lit("")).otherwise(F.col("n_name")).alias("country"),
             F.when(k % 5 == 0, F.lit("")).otherwise(F.col("r_name")).alias("begin_area"),
             F.substr(F.col("s_name"), F.lit(1), F.lit(17)).alias("prefix"),
+            # Some artists have no id; they join works without one.
+            F.when(k % 13 == 0, F.lit("")).otherwise(k.cast("string")).alias("arid"),
         )
     )
 
@@ -181,7 +209,7 @@ def artist_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     sup = _suppliers(spark, sf_dir)
     cols = [F.col("s_suppkey").alias("ord"), F.col("nm").alias("name"), "country",
-            F.col("s_suppkey").cast("string").alias("arid"), "begin_area"]
+            "arid", "begin_area"]
     own = sup.select(F.lower("prefix").alias("query"), *cols)
     nxt = F.concat(F.lit("supplier#"), F.lpad((F.floor(F.col("s_suppkey") / 10) + 1).cast("string"), 8, "0"))
     decoy = sup.select(nxt.alias("query"), *cols)
@@ -190,52 +218,53 @@ def artist_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def work_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidate works per lower-cased song query: (query, ord, arid, name, title).
+    """Candidate works per lower-cased song query: (query, ord, item, arid, name, title).
 
     Distinct (supplier, part name) supplied pairs; query = the noun of the
-    name; order = (ord, title).
+    name; order = (ord, title). Works of suppliers with key % 7 = 0 have a
+    second artist, without an id.
     """
     lineitem = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     pairs = lineitem.join(part, lineitem.l_partkey == part.p_partkey).select("l_suppkey", "p_name").distinct()
-    return pairs.select(
-        _noun(F.col("p_name")).alias("query"),
-        F.col("l_suppkey").alias("ord"),
-        F.col("l_suppkey").cast("string").alias("arid"),
-        F.concat(F.lit("Artist "), F.col("l_suppkey").cast("string")).alias("name"),
-        F.col("p_name").alias("title"),
-    )
+    work = pairs.select(_noun(F.col("p_name")).alias("query"), F.col("l_suppkey").alias("ord"), F.col("p_name").alias("title"))
+    key = F.col("ord").cast("string")
+    first = work.select("query", "ord", F.lit(0).alias("item"), key.alias("arid"), F.concat(F.lit("Artist "), key).alias("name"), "title")
+    second = work.where(F.col("ord") % 7 == 0).select(
+        "query", "ord", F.lit(1).alias("item"), F.lit("").alias("arid"), F.lit("Anon").alias("name"), "title")
+    return first.unionByName(second)
 
 
 def chart_artist_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate artists for the chart's own artists (part brands).
 
     Supplier k is a candidate, named ``Brand#<k % 25 + 1> & <s_name>``, for
-    the query of that brand.
+    the query of that brand, and one named with ``, Jr.`` for that query.
     """
     sup = _suppliers(spark, sf_dir)
-    brand = F.concat(F.lit("Brand#"), ((F.col("s_suppkey") % 25) + 1).cast("string"))
+    sup = sup.withColumn("suffix", F.explode(F.array(F.lit(""), F.lit(", Jr."))))
+    brand = F.concat(F.lit("Brand#"), ((F.col("s_suppkey") % 25) + 1).cast("string"), F.col("suffix"))
     return sup.select(
         F.lower(brand).alias("query"),
         F.col("s_suppkey").alias("ord"),
         F.concat(brand, F.lit(" & "), F.col("s_name")).alias("name"),
         "country",
-        F.col("s_suppkey").cast("string").alias("arid"),
+        "arid",
         "begin_area",
     )
 
 
 def chart_work_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidate works for the chart's own songs: every supplied (supplier, part name) pair."""
+    """Candidate works for the chart's own songs: every supplied (supplier, part) pair."""
     lineitem = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    pairs = lineitem.join(part, lineitem.l_partkey == part.p_partkey).select("l_suppkey", "p_name").distinct()
+    part = table(spark, sf_dir, "part").select("p_partkey", _track().alias("track"))
+    pairs = lineitem.join(part, lineitem.l_partkey == part.p_partkey).select("l_suppkey", "track").distinct()
     return pairs.select(
-        F.lower("p_name").alias("query"),
+        F.lower("track").alias("query"),
         F.col("l_suppkey").alias("ord"),
         F.col("l_suppkey").cast("string").alias("arid"),
         F.concat(F.lit("Artist "), F.col("l_suppkey").cast("string")).alias("name"),
-        F.col("p_name").alias("title"),
+        F.col("track").alias("title"),
     )
 
 
@@ -252,10 +281,10 @@ def _element(tag: str, c: F.Column) -> F.Column:
 
 
 def _pages(items: DataFrame, order: list[str], root: str, list_tag: str) -> DataFrame:
-    """Group item fragments into response pages of at most ``PAGE`` ordinals.
+    """Group item fragments into response pages of ``PAGE`` ordinals each.
 
-    ``collect_list`` is bounded by the page size: no query's whole hit list
-    is ever gathered in one row.
+    ``collect_list`` is bounded by the items of those ordinals (up to eight
+    hundred works): no query's whole hit list is ever gathered in one row.
     """
     grouped = items.groupBy("query", (F.col("ord") / PAGE).cast("bigint").alias("page")).agg(
         F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], F.col("xml")))).alias("items")
@@ -274,7 +303,7 @@ def artist_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored artist-search response pages: (query, page, doc) XML."""
     hits = artist_hits(spark, sf_dir)
     xml = F.concat(
-        F.lit('<artist id="'), _xml_text(F.col("arid")), F.lit('">'),
+        F.lit("<artist"), F.when(F.col("arid") == "", F.lit("")).otherwise(F.concat(F.lit(' id="'), _xml_text(F.col("arid")), F.lit('"'))), F.lit(">"),
         _element("name", F.col("name")), _element("country", F.col("country")),
         F.when(F.col("begin_area") == "", F.lit("")).otherwise(
             F.concat(F.lit("<begin-area>"), _element("name", F.col("begin_area")), F.lit("</begin-area>"))),
@@ -287,9 +316,11 @@ def work_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored work-search response pages: (query, page, doc) XML.
 
     Works of suppliers with key % 3 = 0 also carry a non-artist relation
-    list, which flattening must skip.
+    list, which flattening must skip, and those with key % 5 = 0 an empty
+    artist relation list and an empty relation, which must hide nothing.
+    Titles of those with key % 4 = 1 are padded.
     """
-    hits = work_hits(spark, sf_dir)
+    hits = work_hits(spark, sf_dir).where("item = 0")
     artist_rel = F.concat(
         F.lit('<relation-list target-type="artist"><relation type="composer"><artist id="'),
         _xml_text(F.col("arid")), F.lit('">'), _element("name", F.col("name")),
@@ -298,7 +329,13 @@ def work_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     other_rel = F.when(F.col("ord") % 3 == 0, F.lit(
         '<relation-list target-type="label"><relation type="publishing"><artist id="0"><name>Label</name>'
         "</artist></relation></relation-list>")).otherwise(F.lit(""))
-    xml = F.concat(F.lit("<work>"), _element("title", F.col("title")), other_rel, artist_rel, F.lit("</work>"))
+    empty_rel = F.when(F.col("ord") % 5 == 0, F.lit(
+        '<relation-list target-type="artist"/><relation-list target-type="artist"><relation/></relation-list>')).otherwise(F.lit(""))
+    second_rel = F.when(F.col("ord") % 7 == 0, F.lit(
+        '<relation-list target-type="artist"><relation type="lyricist"><artist><name>Anon</name></artist></relation>'
+        "</relation-list>")).otherwise(F.lit(""))
+    title = F.when(F.col("ord") % 4 == 1, F.concat(F.lit("\n  "), F.col("title"), F.lit(" \t"))).otherwise(F.col("title"))
+    xml = F.concat(F.lit("<work>"), _element("title", title), empty_rel, other_rel, artist_rel, second_rel, F.lit("</work>"))
     return _pages(hits.select("query", "ord", "title", xml.alias("xml")), ["ord", "title"], "metadata", "work-list")
 
 
@@ -321,6 +358,23 @@ class Tables:
     def texts(self) -> DataFrame:
         return texts(self.spark, self.sf_dir)
 
+    def odd_rows(self) -> DataFrame:
+        """Nine text columns with padded, quoted and empty fields, and their order."""
+        key = F.col("p_partkey")
+        some = lambda n, value: F.when(key % n == 0, F.lit("")).otherwise(value)
+        return table(self.spark, self.sf_dir, "part").select(
+            key.alias("ord"), key.cast("string").alias("position"), F.concat(F.lit(' "'), "p_name", F.lit('",  ')).alias("track"),
+            some(3, F.concat("p_brand", F.lit("  "))).alias("artist"), F.col("p_size").cast("string").alias("streams"),
+            some(2, F.lit(" ")).alias("url"), F.lit('a""b').alias("date"), F.lit('"').alias("region"),
+            F.col("p_type").alias("country"), some(5, F.lit(" x")).alias("begin_area"))
+
+    def ragged_lines(self) -> DataFrame:
+        """Lines of one to three fields, with quotes around and inside them, and blank lines."""
+        name, brand = F.col("p_name"), F.col("p_brand")
+        kinds = [F.concat(name, F.lit(","), brand), name, F.concat(F.lit('"'), name, F.lit(', ""x""",'), brand, F.lit(",")),
+                 F.concat(name, F.lit('" mix,')), F.lit("")]
+        return table(self.spark, self.sf_dir, "part").select(F.element_at(F.array(*kinds), (F.col("p_partkey") % 5 + 1).cast("int")).alias("value"))
+
     def requests(self) -> DataFrame:
         return requests(self.spark, self.sf_dir)
 

@@ -7,28 +7,34 @@ form (brute-force ``contains`` joins, ``row_number`` for "first"/"last").
 
 from __future__ import annotations
 
-CHART = """
+TRACK = "p_name || CASE WHEN p_partkey % 4 = 0 THEN ', pt. ' ELSE ' ' END || CAST(p_partkey // 4 AS VARCHAR)"
+ARTIST = "p_brand || CASE WHEN p_partkey % 5 = 0 THEN ', Jr.' ELSE '' END"
+
+CHART = f"""
 chart AS (
   SELECT CAST(row_number() OVER (PARTITION BY date, region ORDER BY streams DESC, track, artist) AS INTEGER) AS position,
          track, artist, streams,
          'https://charts.invalid/' || region || '/' || date || '?t=' || track || ',' || artist AS url,
          date, region
-  FROM (SELECT p_name AS track, p_brand AS artist, strftime(o_orderdate, '%Y-%m-01') AS date, n_name AS region,
+  FROM (SELECT {TRACK} AS track, {ARTIST} AS artist, strftime(o_orderdate, '%Y-%m-01') AS date, n_name AS region,
                CAST(sum(l_quantity) AS BIGINT) AS streams
         FROM lineitem
         JOIN orders ON l_orderkey = o_orderkey
         JOIN customer ON o_custkey = c_custkey
         JOIN nation ON c_nationkey = n_nationkey
         JOIN part ON l_partkey = p_partkey
-        GROUP BY p_name, p_brand, strftime(o_orderdate, '%Y-%m-01'), n_name) daily
+        GROUP BY 1, 2, 3, 4) daily
 )"""
 
-EXT = """
+EXT = f"""
 ext AS (
-  SELECT p_partkey AS ord, p_brand AS artist, p_name AS song,
+  SELECT p_partkey * 10 AS ord, {ARTIST} AS artist, {TRACK} || CASE WHEN p_partkey % 3 = 0 THEN ' (live)' ELSE '' END AS song,
          CASE WHEN p_size % 11 = 0 THEN NULL WHEN p_size % 7 = 0 THEN '' ELSE n_name END AS country,
          CASE WHEN p_size % 11 = 0 OR p_size % 5 = 0 THEN NULL ELSE r_name END AS starting_place
   FROM part JOIN nation ON p_partkey % 25 = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  UNION ALL
+  SELECT o_orderkey * 10 + 1, 'Brand#' || CAST(o_orderkey % 60 AS VARCHAR) || ' and friends',
+         'small red ring ' || CAST(o_orderkey AS VARCHAR), 'ORDER', o_orderpriority FROM orders
 )"""
 
 # Brute force: every (needle, extension row) pair tested, last eligible match kept.
@@ -51,7 +57,10 @@ enriched AS (
 )"""
 
 LINES = """
-lines AS (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)"""
+lines AS (
+  SELECT replace(value, ', ', ',  ') || repeat(' ', CAST(length(value) % 3 AS INTEGER)) AS value
+  FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)
+)"""
 
 SUP = """
 sup AS (
@@ -59,7 +68,7 @@ sup AS (
          s_name || ' & ' || repeat('x', CAST(s_suppkey % 4 AS INTEGER)) AS nm,
          CASE WHEN s_suppkey % 9 = 0 THEN '' ELSE n_name END AS country,
          CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE r_name END AS begin_area,
-         substr(s_name, 1, 17) AS prefix,
+         substr(s_name, 1, 17) AS prefix, CASE WHEN s_suppkey % 13 = 0 THEN '' ELSE CAST(s_suppkey AS VARCHAR) END AS arid,
          CASE WHEN s_suppkey % 20 < 10 THEN substr(s_name, 1, 17) ELSE lower(substr(s_name, 1, 17)) END AS req_artist
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 )"""
@@ -78,22 +87,27 @@ requests AS (
 
 AHITS = """
 ahits AS (
-  SELECT lower(prefix) AS query, s_suppkey AS ord, nm AS name, country, CAST(s_suppkey AS VARCHAR) AS arid, begin_area
+  SELECT lower(prefix) AS query, s_suppkey AS ord, rtrim(nm) AS name, country, arid, begin_area
   FROM sup
   UNION ALL
-  SELECT 'supplier#' || lpad(CAST(s_suppkey // 10 + 1 AS VARCHAR), 8, '0'), s_suppkey, nm, country,
-         CAST(s_suppkey AS VARCHAR), begin_area
+  SELECT 'supplier#' || lpad(CAST(s_suppkey // 10 + 1 AS VARCHAR), 8, '0'), s_suppkey, rtrim(nm), country, arid, begin_area
   FROM sup
   UNION ALL
-  SELECT replace(replace(lower(nm), '&', ''), '  ', ' '), s_suppkey, nm, country, CAST(s_suppkey AS VARCHAR), begin_area
+  SELECT replace(replace(lower(nm), '&', ''), '  ', ' '), s_suppkey, rtrim(nm), country, arid, begin_area
   FROM sup
 )"""
 
 WHITS = """
-whits AS (
-  SELECT DISTINCT split_part(p_name, ' ', 2) AS query, l_suppkey AS ord, CAST(l_suppkey AS VARCHAR) AS arid,
-         'Artist ' || CAST(l_suppkey AS VARCHAR) AS name, p_name AS title
+works AS (
+  SELECT DISTINCT split_part(p_name, ' ', 2) AS query, l_suppkey AS ord, p_name AS title
   FROM lineitem JOIN part ON l_partkey = p_partkey
+),
+numbered AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query, ord // 100 ORDER BY ord, title) - 1 AS INTEGER) AS pos FROM works
+),
+whits AS (
+  SELECT query, ord, pos, 0 AS item, CAST(ord AS VARCHAR) AS arid, 'Artist ' || CAST(ord AS VARCHAR) AS name, title FROM numbered
+  UNION ALL SELECT query, ord, pos, 1, '', 'Anon', title FROM numbered WHERE ord % 7 = 0
 )"""
 
 # Every candidate x work pair of a request, filtered and scored as stated.
@@ -132,21 +146,20 @@ resolved AS (
 
 # End-to-end: the chart's own pairs resolved against candidates derived for
 # them, and the resolved pairs (in (artist, song) order) used as origins.
-CHAIN_INPUTS = """
+CHAIN_INPUTS = f"""
 requests AS (SELECT DISTINCT artist, track AS song FROM chart),
 ahits AS (
-  SELECT lower('Brand#' || CAST(s_suppkey % 25 + 1 AS VARCHAR)) AS query, s_suppkey AS ord,
-         'Brand#' || CAST(s_suppkey % 25 + 1 AS VARCHAR) || ' & ' || s_name AS name, country,
-         CAST(s_suppkey AS VARCHAR) AS arid, begin_area
-  FROM sup
+  SELECT lower('Brand#' || CAST(s_suppkey % 25 + 1 AS VARCHAR) || suffix) AS query, s_suppkey AS ord,
+         'Brand#' || CAST(s_suppkey % 25 + 1 AS VARCHAR) || suffix || ' & ' || s_name AS name, country, arid, begin_area
+  FROM sup, (VALUES (''), (', Jr.')) AS v(suffix)
 ),
 whits AS (
-  SELECT DISTINCT lower(p_name) AS query, l_suppkey AS ord, CAST(l_suppkey AS VARCHAR) AS arid,
-         'Artist ' || CAST(l_suppkey AS VARCHAR) AS name, p_name AS title
+  SELECT DISTINCT lower({TRACK}) AS query, l_suppkey AS ord, CAST(l_suppkey AS VARCHAR) AS arid,
+         'Artist ' || CAST(l_suppkey AS VARCHAR) AS name, {TRACK} AS title
   FROM lineitem JOIN part ON l_partkey = p_partkey
 )"""
 
-CHAIN_EXT = """
+CHAIN_EXT = f"""
 ext AS (
   SELECT row_number() OVER (ORDER BY artist, song) AS ord, artist, song, country, starting_place FROM resolved
 )"""
@@ -197,9 +210,7 @@ ORACLES: dict[str, str] = {
         "       name, country, arid, begin_area FROM ahits"
     ),
     "flatten_works": _with(WHITS) + (
-        "SELECT query, ord // 100 AS page,\n"
-        "       CAST(row_number() OVER (PARTITION BY query, ord // 100 ORDER BY ord, title) - 1 AS INTEGER) AS pos,\n"
-        "       CAST(0 AS INTEGER) AS item, arid, name, title FROM whits"
+        "SELECT query, ord // 100 AS page, pos, CAST(item AS INTEGER) AS item, arid, name, title FROM whits"
     ),
     "related_works": _with(SUP, REQUESTS, AHITS, WHITS, BACKED) + (
         "SELECT artist, song, arid, CAST(score AS INTEGER) AS score, name AS result_artist, country,\n"
@@ -213,6 +224,10 @@ ORACLES: dict[str, str] = {
     "enrich_artist_totals": _with(CHART, EXT, BEST_MATCH, ENRICHED) + (
         "SELECT CAST(sum(streams) AS BIGINT) AS streams, artist FROM enriched WHERE region = 'NATION_7' GROUP BY artist"
     ),
+    "enrich_origin_totals": _with(CHART, EXT, BEST_MATCH, ENRICHED) + (
+        "SELECT country, begin_area, CAST(sum(streams) AS BIGINT) AS streams, CAST(count(*) AS BIGINT) AS n\n"
+        "FROM enriched WHERE region = 'NATION_7' GROUP BY country, begin_area"
+    ),
     "enrich_from_resolved": _with(CHART, SUP, CHAIN_INPUTS, BACKED, RESOLVED, CHAIN_EXT, BEST_MATCH, ENRICHED)
     + "SELECT * FROM enriched",
     "strip_commas": _with(CHART) + (
@@ -222,6 +237,27 @@ ORACLES: dict[str, str] = {
     ),
 }
 
+# Written, then read back.
+ORACLES["report_headerless_parts"] = ORACLES["top_position_counts"]
+ORACLES["report_tuples_read_back"] = (
+    "SELECT '(' || CAST(streams AS VARCHAR) || ',' || artist || ')' AS value FROM (" + ORACLES["top_artists_region"] + ") r")
+ORACLES["mean_tuples_read_back"] = "SELECT '(' || word || ',' || CAST(n AS VARCHAR) || ')' AS value FROM (" + ORACLES["word_count"] + ") r"
+ORACLES["resolved_parts_read_back"] = _with(SUP, REQUESTS, AHITS, WHITS, BACKED, RESOLVED) + (
+    "SELECT " + ", ".join(f"replace({c}, ',', '') AS {c}" for c in ("artist", "song", "result_artist", "country", "starting_place"))
+    + " FROM resolved")
+ODD_ROWS = """
+  SELECT CAST(p_partkey AS VARCHAR) AS position, ' "' || p_name || '",  ' AS track,
+         CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_brand || '  ' END AS artist, CAST(p_size AS VARCHAR) AS streams,
+         CASE WHEN p_partkey % 2 = 0 THEN '' ELSE ' ' END AS url, 'a""b' AS date, '"' AS region,
+         p_type AS country, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE ' x' END AS begin_area
+  FROM part"""
+ORACLES["odd_rows_read_back"] = ODD_ROWS
+ORACLES["ragged_lines"] = """
+SELECT CASE p_partkey % 5 WHEN 2 THEN p_name || ', "x"' WHEN 3 THEN p_name || '" mix' ELSE p_name END AS a,
+       CASE p_partkey % 5 WHEN 0 THEN p_brand WHEN 2 THEN p_brand WHEN 3 THEN '' END AS b,
+       CAST(CASE p_partkey % 5 WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 2 END AS INTEGER) AS width
+FROM part WHERE p_partkey % 5 <> 4"""
+
 # The file-fed variants compute the same results; text files carry position
 # and streams as text.
 ORACLES["top_position_counts_from_csv"] = ORACLES["top_position_counts"]

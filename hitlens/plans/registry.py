@@ -12,11 +12,21 @@ from hitlens.functions import strip_commas
 from hitlens.operators.candidates import flatten_artists, flatten_works
 from hitlens.operators.charts import top_artists, top_position_counts, top_songs
 from hitlens.operators.enrich import containment_match, enrich_ranking, last_matches
-from hitlens.operators.groups import lines_of, series_mean, word_count
+from hitlens.operators.groups import series_mean, word_count
 from hitlens.operators.resolve import distinct_pairs, related_works, resolve_pairs
 from hitlens.plans import files
-from hitlens.plans.fixtures import Tables
-from hitlens.sources import read_extension, read_lines, read_ranking, read_series
+from hitlens.plans.fixtures import Tables, padded_lines
+from hitlens.sources import (
+    RESOLVED_FIELDS,
+    parse_delimited,
+    raw_lines,
+    read_delimited,
+    read_extended_ranking,
+    read_extension,
+    read_lines,
+    read_ranking,
+    read_series,
+)
 
 # Fixed report parameters for the derived chart (its dates are month starts
 # in 1995-2001 and its regions are nation names).
@@ -74,7 +84,7 @@ def q_top_position_counts_from_csv(t: Tables) -> DataFrame:
 
 def q_enrich_ranking_from_files(t: Tables) -> DataFrame:
     ranking = read_ranking(t.spark, files.chart_csv(t.chart()))
-    extension = read_extension(t.spark, files.extension_lines(t.extension()), skip_lines=0)
+    extension = read_extension(t.spark, files.extension_lines(t.extension()))
     return enrich_ranking(ranking, extension).drop("ord")
 
 
@@ -84,7 +94,41 @@ def q_series_mean_from_tsv(t: Tables) -> DataFrame:
 
 
 def q_word_count_from_text(t: Tables) -> DataFrame:
-    return word_count(read_lines(t.spark, files.text_lines(lines_of(t.texts()))))
+    return word_count(read_lines(t.spark, files.text_lines(padded_lines(t.texts()))))
+
+
+def q_enrich_origin_totals(t: Tables) -> DataFrame:
+    """Streams and rows of one region by origin: the ranking is cut before it is enriched."""
+    enriched = enrich_ranking(t.chart().where(F.col("region") == REGION), t.extension())
+    return enriched.groupBy("country", "begin_area").agg(F.sum("streams").alias("streams"), F.count(F.lit(1)).alias("n"))
+
+
+def q_report_headerless_parts(t: Tables) -> DataFrame:
+    return top_position_counts(read_ranking(t.spark, files.chart_csv(t.chart().repartition(5), header=False)), year=YEAR)
+
+
+def q_report_tuples_read_back(t: Tables) -> DataFrame:
+    return read_lines(t.spark, files.tuples(top_artists(t.chart(), region=REGION), "streams", "artist"))
+
+
+def q_mean_tuples_read_back(t: Tables) -> DataFrame:
+    return read_lines(t.spark, files.tuples(word_count(padded_lines(t.texts())), "word", "n"))
+
+
+def q_resolved_parts_read_back(t: Tables) -> DataFrame:
+    """Resolved pairs written in several headered part files: every row comes back."""
+    path = files.resolved_csv(q_resolve_pairs(t).repartition(6))
+    return read_delimited(t.spark, path, RESOLVED_FIELDS).select(*RESOLVED_FIELDS)
+
+
+def q_odd_rows_read_back(t: Tables) -> DataFrame:
+    """Padded, quoted and empty fields survive the nine-column CSV."""
+    return read_extended_ranking(t.spark, files.extended_csv(t.odd_rows())).drop("ord")
+
+
+def q_ragged_lines(t: Tables) -> DataFrame:
+    lines = raw_lines(t.spark, files.text_lines(t.ragged_lines()))
+    return parse_delimited(lines, ["a", "b"]).select("a", "b", "width")
 
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -96,8 +140,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "top_artists_region_top10": lambda t: top_artists(t.chart(), region=REGION, k=TOP_K),
     "series_mean": lambda t: series_mean(t.series(), SERIES_TYPE).select(
         "label", F.round("mean_rating", 6).alias("mean_rating")),
-    "word_count": lambda t: word_count(lines_of(t.texts()), keep_trailing=True),
-    "word_count_trimmed": lambda t: word_count(lines_of(t.texts()), keep_trailing=False),
+    "word_count": lambda t: word_count(padded_lines(t.texts()), keep_trailing=True),
+    "word_count_trimmed": lambda t: word_count(padded_lines(t.texts()), keep_trailing=False),
     "distinct_pairs": lambda t: distinct_pairs(t.chart()),
     "flatten_artists": lambda t: flatten_artists(t.artist_documents()),
     "flatten_works": lambda t: flatten_works(t.work_documents()),
@@ -106,6 +150,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "containment_match": q_containment_match,
     "enrich_ranking": lambda t: enrich_ranking(t.chart(), t.extension()),
     "enrich_artist_totals": lambda t: top_artists(enrich_ranking(t.chart(), t.extension()), region=REGION),
+    "enrich_origin_totals": q_enrich_origin_totals,
     "strip_commas": q_strip_commas,
     "enrich_from_resolved": q_enrich_from_resolved,
     # The same jobs fed through the file sources (written, then read back).
@@ -113,6 +158,13 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "enrich_ranking_from_files": q_enrich_ranking_from_files,
     "series_mean_from_tsv": q_series_mean_from_tsv,
     "word_count_from_text": q_word_count_from_text,
+    # Written by the sinks, then read back.
+    "report_headerless_parts": q_report_headerless_parts,
+    "report_tuples_read_back": q_report_tuples_read_back,
+    "mean_tuples_read_back": q_mean_tuples_read_back,
+    "resolved_parts_read_back": q_resolved_parts_read_back,
+    "odd_rows_read_back": q_odd_rows_read_back,
+    "ragged_lines": q_ragged_lines,
 }
 
 

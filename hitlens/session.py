@@ -68,3 +68,15 @@ def shared_dir(spark: SparkSession) -> str:
 def stored_table_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder for a written intermediate table."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_stored(spark: SparkSession, *paths: str) -> None:
+    """Delete intermediate tables written under the shared folder."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = shared_dir(spark).rstrip("/")
+    for path in paths:
+        if not path.startswith(root + "/"):
+            raise ValueError(f"{path} is not under {root}")
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)

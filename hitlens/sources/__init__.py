@@ -5,7 +5,6 @@ from hitlens.sources.delimited import (
     PAIR_FIELDS,
     RANKING_FIELDS,
     RESOLVED_FIELDS,
-    drop_leading_lines,
     parse_delimited,
     raw_lines,
     read_delimited,
@@ -23,7 +22,6 @@ __all__ = [
     "PAIR_FIELDS",
     "RANKING_FIELDS",
     "RESOLVED_FIELDS",
-    "drop_leading_lines",
     "parse_delimited",
     "raw_lines",
     "read_delimited",

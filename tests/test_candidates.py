@@ -12,7 +12,7 @@ def test_artist_list_one_many_none(spark):
     one = '<metadata><artist-list count="1"><artist id="a1"><name>Solo</name></artist></artist-list></metadata>'
     many = (
         '<metadata><artist-list count="2">'
-        '<artist id="a2"><name>A &amp; B </name><country>CL</country><begin-area><name>Santiago</name></begin-area></artist>'
+        '<artist id="a2"><name> A &amp; B </name><country>CL</country><begin-area><name>Santiago</name></begin-area></artist>'
         '<artist><name>C</name><begin-area></begin-area></artist>'
         "</artist-list></metadata>"
     )
@@ -20,7 +20,7 @@ def test_artist_list_one_many_none(spark):
     out = rows(flatten_artists(docs(spark, one, many, none)), "page", "pos", "name", "country", "arid", "begin_area")
     assert out == [
         (0, 0, "Solo", "", "a1", ""),
-        (1, 0, "A & B ", "CL", "a2", "Santiago"),
+        (1, 0, "A & B", "CL", "a2", "Santiago"),
         (1, 1, "C", "", "", ""),
     ]
 
@@ -81,3 +81,23 @@ def test_response_file_names_are_decoded(spark, scratch):
         with open(os.path.join(scratch, f"{q}.xml"), "w") as f:
             f.write('<metadata><artist-list count="0"/></metadata>')
     assert sorted(r.query for r in read_response_files(spark, scratch).collect()) == ["a+b", "c%d", "e f#1"]
+
+
+def test_empty_lists_hide_no_siblings(spark):
+    artist = '<relation><artist id="{0}"><name>{0}</name></artist></relation>'
+    doc = (
+        '<metadata xmlns="http://example.org/ns"><work-list count="1"><work><title> Song </title>'
+        '<relation-list target-type="artist"/>'
+        f'<relation-list target-type="artist">{artist.format("a1")}<relation/></relation-list>'
+        f'<relation-list target-type="artist">{artist.format("a2")}</relation-list>'
+        "</work></work-list></metadata>"
+    )
+    assert rows(flatten_works(docs(spark, doc)), "item", "arid", "title") == [(0, "a1", "Song"), (1, "a2", "Song")]
+
+
+def test_broken_pages_fail(spark):
+    import pytest
+
+    for flatten in (flatten_artists, flatten_works):
+        with pytest.raises(Exception):
+            flatten(docs(spark, "<metadata><artist-list><artist>")).collect()

@@ -26,5 +26,5 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_runs(spark):
     df = entry(spark)
-    assert df.columns == ["n", "label"]
+    assert df.columns == ["country", "begin_area", "streams", "n"]
     assert df.count() > 0

@@ -6,7 +6,7 @@ import os
 import pytest
 
 from hitlens.operators.charts import top_artists
-from hitlens.sinks import write_csv, write_table, write_tuples
+from hitlens.sinks import write_csv, write_extended_ranking, write_table, write_tuples
 from hitlens.sources import read_extended_ranking
 
 
@@ -27,11 +27,11 @@ def test_tuples_are_ordered_and_refuse_existing_path(spark, scratch):
 
 def test_csv_round_trip(spark, scratch):
     cols = ["position", "track", "artist", "streams", "url", "date", "region", "country", "begin_area"]
-    data = [("1", 'Say "hi", now', "A", "5", "u", "d", "cl", "", "NONE")]
-    df = spark.createDataFrame(data, ", ".join(f"{c} string" for c in cols))
+    data = [("1", 'Say "hi" now', " A ", "5", "u", "d", "cl", "", "NONE"), ("2", '"', "", " ", "\t", "d", "cl", "x  ", "")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], "ord int, " + ", ".join(f"{c} string" for c in cols))
     out = os.path.join(scratch, "ext")
-    write_csv(df, out)
-    back = read_extended_ranking(spark, out).select(*cols).collect()
+    write_extended_ranking(df, out)
+    back = read_extended_ranking(spark, out).orderBy("ord").select(*cols).collect()
     assert [tuple(r) for r in back] == data
 
 

@@ -28,13 +28,55 @@ def test_quoted_fields_and_widths(spark, scratch):
     ]
 
 
-def test_extension_skips_two_lines_and_blank_rows(spark, scratch):
-    p = write(scratch, "ext.csv", "artist,song,r,country,place\n\nA,S,R,CL,P\n\nB,T,R,AR\nC,U\n")
-    df = read_extension(spark, p)
-    got = [(r.artist, r.song, r.country, r.starting_place) for r in df.orderBy("ord").collect()]
+def test_only_header_and_blank_lines_are_dropped(spark, scratch):
+    head = "artist,song,result_artist,country,starting_place\n"
+    p = write(scratch, "ext.csv", head + "\nA,S,R,CL,P\n\nB,T,R,AR\nC,U\n")
+    got = [(r.artist, r.song, r.country, r.starting_place) for r in read_extension(spark, p).orderBy("ord").collect()]
     assert got == [("A", "S", "CL", "P"), ("B", "T", "AR", None), ("C", "U", None, None)]
-    p2 = write(scratch, "ext2.csv", "artist,song,r,country,place\nFIRST,S,R,CL,P\nA,S,R,CL,P\n")
-    assert [r.artist for r in read_extension(spark, p2).collect()] == ["A"]
+    p2 = write(scratch, "ext2.csv", head + "FIRST,S,R,CL,P\nA,S,R,CL,P\n")
+    p3 = write(scratch, "ext3.csv", "ZERO,S,R,CL,P\nA,S,R,CL,P\n")
+    assert [r.artist for r in read_extension(spark, [p2, p3]).orderBy("ord").collect()] == ["FIRST", "A", "ZERO", "A"]
+
+
+def test_headerless_part_files_lose_no_row(spark, scratch):
+    for i in range(3):
+        write(scratch, f"part-{i}", "".join(f"{j},T{i}{j},A,{j},u,2017-01-01,cl\n" for j in range(5)))
+    assert read_ranking(spark, scratch).count() == 15
+
+
+def test_paths_count_as_given_and_parts_by_number(spark, scratch):
+    b, a = write(scratch, "b.csv", "b,1\n"), write(scratch, "a.csv", "a,1\n")
+    assert [r.artist for r in read_pairs(spark, [b, a]).orderBy("ord").collect()] == ["b", "a"]
+    parts = os.path.join(scratch, "parts")
+    os.makedirs(parts)
+    for n in (100000, 99999, 5):
+        write(parts, f"part-{n}", f"p{n},s\n")
+    assert [r.artist for r in read_pairs(spark, parts).orderBy("ord").collect()] == ["p5", "p99999", "p100000"]
+
+
+def test_quotes_inside_fields_and_open_quotes(spark, scratch):
+    line = '1,12" Mix,The "X" Band,10,u,2017-01-01,cl\n'
+    r = read_ranking(spark, write(scratch, "q.csv", line)).first()
+    assert (r.track, r.artist, r.region) == ('12" Mix', 'The "X" Band', "cl")
+    broken = write(scratch, "o.csv", 'A,"B\nC",A,CL,S\n')
+    with pytest.raises(Exception, match="quote left open"):
+        read_extension(spark, broken).collect()
+    spaced = write(scratch, "s.csv", ' A , S\n"",""\n,\n')
+    assert [(r.artist, r.song) for r in read_pairs(spark, spaced).orderBy("ord").collect()] == [(" A ", " S"), ("", ""), ("", "")]
+
+
+def test_width_counts_one_field_more_than_asked(spark, scratch):
+    p = write(scratch, "w.csv", "a\na,b\na,b,c\na,b,c,d\na,,\n")
+    rows = parse_delimited(raw_lines(spark, p), ["x", "y"]).orderBy("ord").collect()
+    assert [(r.x, r.y, r.width) for r in rows] == [("a", None, 1), ("a", "b", 2), ("a", "b", 3), ("a", "b", 3), ("a", "", 3)]
+
+
+def test_one_scan_per_report(spark, scratch):
+    from hitlens.operators.charts import top_artists
+
+    p = write(scratch, "r.csv", "Position,Track Name,Artist,Streams,URL,Date,Region\n1,T,X,10,u,2017-01-01,cl\n")
+    plan = top_artists(read_ranking(spark, p), "cl")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1
 
 
 def test_file_order_across_files(spark, scratch):
@@ -75,20 +117,3 @@ def test_series_tsv_rules(spark, scratch):
 def test_read_lines(spark, scratch):
     p = write(scratch, "t.txt", "a b\n\nc\n")
     assert [r.value for r in read_lines(spark, p).collect()] == ["a b", "", "c"]
-
-
-def test_spread_only_inputs_with_few_splits(spark, scratch):
-    from hitlens.sources.layout import spread_small_inputs
-
-    one = os.path.join(scratch, "one")
-    spark.range(1000).coalesce(1).write.parquet(one)
-    assert spread_small_inputs(spark.read.parquet(one), slots=8).rdd.getNumPartitions() == 8
-    many = os.path.join(scratch, "many")
-    spark.range(1000).repartition(6).write.parquet(many)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
-    try:
-        df = spark.read.parquet(many)
-        assert df.rdd.getNumPartitions() >= 4
-        assert spread_small_inputs(df, slots=8) is df
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
