@@ -185,7 +185,8 @@ def grouped(docs: DataFrame, key: str, text: str, size: int, distance: int, bloc
     linked = rooted.join(least, "root").select("fp", "root", "component")
     alone = F.col("root").isNull()
     named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(alone, F.col("least")).otherwise(F.col("component")).alias("component_id"))
-    return marked, named
+    # Written, so that a join with it reads plain shuffles, whose hot fingerprints Spark can split.
+    return marked, stored(named, "fingerprint-components")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
