@@ -14,7 +14,7 @@ LOWER = UPPER.lower()
 BLANKS = " \t\n\x0b\x0c\r"
 #: Rows and bytes of one Arrow batch handed to a Python worker. Both bound
 #: what a task holds at once, whatever the partition size.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -44,7 +44,11 @@ class ByteBpe:
         self.special = [t["content"] for t in spec["added_tokens"]]
         ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
         self.plain = tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.own = Tokenizer.from_file(path)
+        self.path = path
+
+    @cached_property
+    def own(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
 
     def ids(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
