@@ -35,7 +35,7 @@ GRAM = 64
 #: Bytes looked at together; below 2 ** 21, so that a position takes 21 bits.
 CHUNK = 1 << 20
 #: Grams found more often are handled as windows.
-FREQUENT = 4096
+FREQUENT = 1 << 16
 #: Suffixes of one range of the merge, about.
 RANGE = 50_000
 #: A group of up to so many different suffixes is compared pair by pair.

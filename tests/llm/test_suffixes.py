@@ -39,7 +39,7 @@ def planted(seed):
     return [(i, t) for i, t in enumerate(texts)] + [(None, base), (7, prose(400))]
 
 
-@pytest.mark.parametrize("frequent", [5, 4096])
+@pytest.mark.parametrize("frequent", [5, suffixes.FREQUENT])
 def test_matches_counting_every_window(spark, frequent):
     rows = planted(1)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
