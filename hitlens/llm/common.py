@@ -12,9 +12,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: The six ASCII blanks that separate words (space, tab to carriage return).
 BLANKS = " \t\n\x0b\x0c\r"
-#: Rows and bytes of one Arrow batch handed to a Python worker. Both bound
-#: what a task holds at once, whatever the partition size.
-BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
+#: Rows and bytes of one Arrow batch handed to a Python worker: narrow rows
+#: fill the first bound, long texts the second, which is the one on memory.
+BATCH_ROWS, BATCH_BYTES = 10_000, 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
