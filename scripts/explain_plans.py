@@ -10,13 +10,12 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from hitlens.plans.fixtures import StoredTables  # noqa: E402
 from hitlens.plans.registry import QUERIES  # noqa: E402
-from hitlens.session import local_session  # noqa: E402
+from hitlens.session import local_session, stored_table_path  # noqa: E402
 
 WIDTH = 150
 
@@ -32,7 +31,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     names = sys.argv[2:] or list(QUERIES)
     spark = local_session(shuffle_partitions=16, app="hitlens-plans")
-    tables = StoredTables.materialize(spark, sf_dir, tempfile.mkdtemp(prefix="hitlens-plans-"))
+    tables = StoredTables.materialize(spark, sf_dir, stored_table_path(spark, "plan-inputs"))
     print(f"# Final physical plans at {os.path.basename(sf_dir)} (local[8], AQE on, stored inputs)\n")
     for name in names:
         df = QUERIES[name](tables)

@@ -62,3 +62,26 @@ def test_enriched_ranking_is_joined_without_a_shuffle(spark, scratch):
     text = final_plan(enrich_ranking(stored.chart(), stored.extension()))
     assert "BroadcastHashJoin" in text and "LeftOuter, BuildRight" in text
     assert "Exchange hashpartitioning" not in text  # the ranking side is read in place
+
+
+def test_requests_meet_candidates_and_works_at_once(spark):
+    import re
+
+    from hitlens.operators.resolve import related_works
+    from hitlens.plans.registry import ARTIST_ORDER, WORK_ORDER
+
+    t = Tables(spark, SF_SMALL)
+    text = final_plan(related_works(t.requests(), t.artist_candidates(), t.work_candidates(), ARTIST_ORDER, WORK_ORDER))
+    assert re.search(r"Join \[a#\d+, s#\d+\], \[a#\d+, s#\d+\], Inner", text)
+    assert text.count("LeftSemi") >= 2  # hits of queries that nobody asks for are pruned
+
+
+def test_containment_index_is_read_not_rebuilt(spark):
+    from hitlens.operators.enrich import containment_match, last_matches
+
+    t = Tables(spark, SF_SMALL)
+    needles = t.chart().selectExpr("lower(artist) la", "lower(track) lt").distinct()
+    haystacks = last_matches(t.extension())
+    text = final_plan(containment_match(needles, haystacks))
+    assert "ReadSchema: struct<k:bigint,hid:bigint>" in text
+    assert text.split("+- == Initial Plan ==")[0].count("Generate explode") == 0
