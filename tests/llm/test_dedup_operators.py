@@ -114,6 +114,7 @@ def test_runs_tell_unseen_lines(spark):
     runs = line_dedup.LineRuns(spark)
     runs.add(batch(range(5)))
     runs.add(batch(range(4, 8)))
+    assert [r.count() for r in runs.runs + runs.additions] == [5, 3, 1]
     assert sorted(r.doc for r in runs.unseen(batch(range(6, 11))).collect()) == [8, 9, 10]
 
 
