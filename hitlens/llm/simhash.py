@@ -205,12 +205,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
                          distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
     """One row of each component, with its own columns: that of the smallest key
-    (null is the largest), and of these the smallest fingerprint and text hash.
-    Of repeated rows one stays."""
+    (null is the largest), and of these the smallest text hash. Of repeated
+    rows one stays."""
     marked, named = grouped(docs, key, text, size, distance, block)
-    rows = marked.join(named, "fp").groupBy("root", "key", "fp", "text_hash").agg(F.count("*").alias("n"))
-    first = rows.groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "fp", "text_hash", "n")).alias("m"))
-    stay = stored(first.select(F.col("m.key").alias("_stay"), F.col("m.text_hash").alias("_stay_text"), F.col("m.n").alias("_copies")), "survivors")
+    # Combined per fingerprint before it meets its component: copies never gather in one task.
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "text_hash")).alias("first")
+    of_fp = marked.groupBy("fp").agg(first)
+    of_root = of_fp.join(named, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.key", "first.text_hash")
+    repeats = marked.groupBy("key", "text_hash").agg(F.count("*").alias("n")).where("n > 1").withColumnsRenamed({"key": "k", "text_hash": "h"})
+    again = F.col("key").eqNullSafe(F.col("k")) & (F.col("text_hash") == F.col("h"))
+    stay = of_root.join(repeats, again, "left").select(F.col("key").alias("_stay"), F.col("text_hash").alias("_stay_text"), F.coalesce("n", F.lit(1)).alias("_copies"))
+    stay = stored(stay, "survivors")
     same = F.col(key).eqNullSafe(F.col("_stay")) & (F.xxhash64(F.col(text)) == F.col("_stay_text"))
     only = lambda which: docs.join(stay.where(which), same, "left_semi")
     # A row has copies only if key and text repeat; those alone are regrouped.
