@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hitlens.llm.conversations import REPAIR_SQL, repair_digest
 from hitlens.llm.decontaminate import CONTAMINATION_SQL, contamination_digest
 from hitlens.llm.line_dedup import LINE_SQL, file_batches, line_digest
 from hitlens.llm.lm_score import lm_digest
+from hitlens.llm.merkle import MERKLE_SQL, manifest_digest
 from hitlens.llm.packing import packing_digest
 from hitlens.llm.quality import QUALITY_SQL, quality_digest
 from hitlens.llm.secrets import secrets_digest
 from hitlens.llm.sharding import shard_digest
 from hitlens.llm.simhash import simhash_digest
 from hitlens.llm.suffixes import suffix_digest
+from hitlens.llm.token_counts import count_digest
 from hitlens.llm.url_filter import url_digest
 
 
@@ -37,5 +40,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": lambda spark, sf_dir: line_digest(file_batches(spark, f"{sf_dir}/documents.parquet")),
     "op9_best_two_fit_packing": _over_documents(packing_digest),
     "op10_ppm_score": _over_documents(lm_digest),
+    "op11_merkle_manifest": _over_documents(manifest_digest),
+    "op12_conversation_repair": lambda spark, sf_dir: repair_digest(table(spark, sf_dir, "conversations")),
+    "op13_token_counts": _over_documents(count_digest),
 }
-ORACLES: dict[str, str] = {"op2_quality_ledger": QUALITY_SQL, "op4_winnowing_decontamination": CONTAMINATION_SQL, "op8_line_dedup": LINE_SQL}
+ORACLES: dict[str, str] = {"op2_quality_ledger": QUALITY_SQL, "op4_winnowing_decontamination": CONTAMINATION_SQL, "op8_line_dedup": LINE_SQL,
+                           "op11_merkle_manifest": MERKLE_SQL, "op12_conversation_repair": REPAIR_SQL}

@@ -1,0 +1,49 @@
+"""Token counts of spliced encodings against the library on whole texts."""
+
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from hitlens.llm import token_counts
+from tests.llm.data import as_rows, awkward_documents, small_documents
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def expected(rows):
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    return [(k, len((t or "").encode()), len(model.encode(t or ""))) for k, t in rows]
+
+
+def long_texts(seed=5):
+    rng = random.Random(seed)
+    some = ["a" * 5000, "=" * 3000 + " x " * 50, " " * 4000, "▁ ▁" * 700, "日本語テキスト" * 300, "\U0001f9ff\x00\n\t" * 500, "<s></s><unk> <0x0A>" * 200,
+            "word " * 2000, "é" * 2000, "x" * 64, "x" * 65, "x" * 72, "x " * 36 + "y", "ab" * 1000 + " " + "-" * 1500 + "\n" + "in the end. " * 100]
+    letters = "ab  eé日=\n\U0001f600.▁"
+    return some + ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 1500))) for _ in range(40)]
+
+
+@pytest.mark.parametrize("part, overlap", [(64, 8), (200, 3), (1000, 64)])
+def test_spliced_counts_match_the_library(spark, part, overlap):
+    rows = list(enumerate(long_texts()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = token_counts.token_counts(docs, part=part, overlap=overlap)
+    assert as_rows(got, "key", "n_bytes", "n_tokens") == as_rows(spark.createDataFrame(expected(rows), "a long, b long, c long"))
+
+
+def test_whole_tables_and_awkward_rows(spark):
+    long = spark.createDataFrame([(900, "lorem ipsum " * 20_000), (901, "=" * 50_000)], "doc_id long, text string")
+    for docs in (awkward_documents(spark), small_documents(spark), long):
+        rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+        want = [(k, b, n, n > 4096) for k, b, n in expected(rows)]
+        assert as_rows(token_counts.count_digest(docs)) == as_rows(spark.createDataFrame(want, "a long, b long, c long, d boolean"))
+        assert token_counts.count_digest(docs.limit(0)).count() == 0
+
+
+def test_no_encoding_crosses_a_stable_border():
+    bpe = token_counts.piece_bpe(MODEL)
+    for text in long_texts(seed=6):
+        ends = {x for x, _ in bpe.borders(text)[1]}
+        assert all(len(text[:p].encode()) in ends for p in bpe.stable(text, 1, len(text)))
