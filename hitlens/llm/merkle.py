@@ -28,6 +28,8 @@ BLOCK = ARITY**LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: The tree of the groups' roots. Group trees are named "-" (null) or ":" and the group, which sort like the groups.
 TOP = ""
+#: Level of the row that tells a block its place among the groups' roots, their number and the root.
+NOTHING = -1
 
 
 def combined(parts: Sequence[bytes]) -> bytes:
@@ -177,14 +179,16 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, group: str = "sour
 
 
 def _lacking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block of wanted leaves (tree, block, pos list, n, top place): the coordinates it lacks."""
+    """Per block of wanted leaves (tree, block, pos list, n, top place, root): the coordinates it lacks, and one row that lacks nothing."""
     for batch in batches:
         rows = []
-        for tree, block, wanted, n, top_pos, top_n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            rows += [(tree, block, tree, *at) for at in missing(wanted, n)] + [(tree, block, TOP, *at) for at in missing([top_pos], top_n)]
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        types = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["tree", "block", "of", "level", "idx"])
+        for tree, block, wanted, n, top_pos, top_n, root in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            rows.append((tree, block, TOP, NOTHING, top_pos, top_n, root))
+            rows += [(tree, block, of, *at, None, None) for of, lacked in ((tree, missing(wanted, n)), (TOP, missing([top_pos], top_n))) for at in lacked]
+        columns = list(zip(*rows, strict=True)) or [()] * 7
+        types = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+        names = ["tree", "block", "of", "level", "idx", "top_n", "root"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
 
 def proofs(made: Manifest, wanted: DataFrame, keep_proof: bool = False) -> DataFrame:
@@ -195,29 +199,31 @@ def proofs(made: Manifest, wanted: DataFrame, keep_proof: bool = False) -> DataF
     the proof), verified and, if asked for, proof (the siblings). Hashes are
     lowercase hex. Blocks hold at most ``BLOCK`` leaves of one group.
     """
-    block = F.expr(f"pos DIV {BLOCK}")
-    placed = wanted.join(made.trees, "tree").select(
-        "tree", block.alias("block"), "pos", "n", "top_pos", "top_n", "key", "leaf", F.coalesce("claim", "leaf").alias("claim"), "subroot", "root")
-    asked = placed.groupBy("tree", "block").agg(
-        F.collect_list("pos").alias("wanted"), F.first("n").alias("n"), F.first("top_pos").alias("top_pos"), F.first("top_n").alias("top_n"))
-    lacked = stored(asked.mapInArrow(_lacking, "tree string, block long, of string, level int, idx long"), "merkle-coordinates")
+    block = F.expr(f"pos DIV {BLOCK}").alias("block")
+    placed = wanted.select("tree", block, "pos", "n", "key", "leaf", F.coalesce("claim", "leaf").alias("claim"))
+    # Blocks, not leaves, meet their group's root: a group may hold most of the leaves.
+    asked = placed.groupBy("tree", "block").agg(F.collect_list("pos").alias("wanted"), F.first("n").alias("n"))
+    asked = asked.join(made.trees, "tree").select("tree", "block", "wanted", "n", "top_pos", "top_n", "root")
+    lacked = stored(asked.mapInArrow(_lacking, "tree string, block long, of string, level int, idx long, top_n long, root binary"), "merkle-coordinates")
     # Leaves' own siblings are read only where a partial choice of leaves lacks some.
     nodes = made.nodes.select(F.col("tree").alias("of"), "level", "idx", "digest")
     if not lacked.where(f"of <> '{TOP}' AND level = 0").isEmpty():
         nodes = nodes.union(made.leaves.select("tree", F.lit(0), "pos", "leaf"))
-    fetched = lacked.join(nodes, ["of", "level", "idx"]).select("tree", "block", "of", "level", "idx", "digest")
+    fetched = lacked.join(nodes, ["of", "level", "idx"], "left").select("tree", "block", "of", "level", "idx", "top_n", "root", "digest")
 
     def expand(group: tuple, ours: pa.Table, theirs: pa.Table) -> pa.Table:
-        n, top_pos, top_n = (ours[c][0].as_py() for c in ("n", "top_pos", "top_n"))
+        n, top_pos, top_n, root = ours["n"][0].as_py(), 0, 0, ""
         known: dict[str, dict[tuple[int, int], bytes]] = {"tree": {}, TOP: {}}
-        for of, level, idx, digest in zip(*[theirs[c].to_pylist() for c in ("of", "level", "idx", "digest")], strict=True):
-            known[TOP if of == TOP else "tree"][level, idx] = digest.hex().encode()
+        for of, level, idx, many, summit, digest in zip(*[theirs[c].to_pylist() for c in ("of", "level", "idx", "top_n", "root", "digest")], strict=True):
+            if level == NOTHING:
+                top_pos, top_n, root = idx, many, summit.hex()
+            else:
+                known[TOP if of == TOP else "tree"][level, idx] = digest.hex().encode()
         leaves = {p: h.hex().encode() for p, h in zip(ours["pos"].to_pylist(), ours["leaf"].to_pylist(), strict=True)}
         nodes = derived(leaves, known["tree"], n)
         subroot = nodes[len(widths(n)) - 1, 0]
         top = derived({top_pos: subroot}, known[TOP], top_n)
         path = paths(nodes, n, paths(top, top_n)(top_pos))
-        root = ours["root"][0].as_py().hex()
         out = []
         for p, claimed in zip(ours["pos"].to_pylist(), ours["claim"].to_pylist(), strict=True):
             proof = path(p)
