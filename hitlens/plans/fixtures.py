@@ -115,6 +115,15 @@ def extension(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_needles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower-cased (la, lt) needles from ``part``: short prefixes of the artists and songs that orders give the extension."""
+    k = F.col("p_partkey")
+    number = F.substr(k.cast("string"), F.lit(1), (k % 3).cast("int"))
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("brand#"), F.floor(k / 7) % 66).alias("la"), F.concat(F.lit("small red ring "), number).alias("lt")
+    ).distinct()
+
+
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings table (rating, series, year, type, episode) from ``events``."""
     events = table(spark, sf_dir, "events")
@@ -352,6 +361,9 @@ class Tables:
     def extension(self) -> DataFrame:
         return extension(self.spark, self.sf_dir)
 
+    def hot_needles(self) -> DataFrame:
+        return hot_needles(self.spark, self.sf_dir)
+
     def series(self) -> DataFrame:
         return series(self.spark, self.sf_dir)
 

@@ -48,6 +48,9 @@ matches AS (
 ),
 best AS (SELECT la, lt, country, begin_area FROM matches WHERE rn = 1)"""
 
+HOT_NEEDLES = """SELECT DISTINCT 'brand#' || (p_partkey // 7) % 66 AS la,
+  'small red ring ' || substr(CAST(p_partkey AS VARCHAR), 1, CAST(p_partkey % 3 AS INTEGER)) AS lt FROM part"""
+
 ENRICHED = """
 enriched AS (
   SELECT c.position, replace(c.track, ',', '') AS track, replace(c.artist, ',', '') AS artist, c.streams,
@@ -220,6 +223,8 @@ ORACLES: dict[str, str] = {
     ),
     "resolve_pairs": _with(SUP, REQUESTS, AHITS, WHITS, BACKED, RESOLVED) + "SELECT * FROM resolved",
     "containment_match": _with(CHART, EXT, BEST_MATCH) + "SELECT la, lt, country, begin_area FROM best",
+    "hot_key_match": _with(EXT, BEST_MATCH.replace("SELECT DISTINCT lower(artist) AS la, lower(track) AS lt FROM chart", HOT_NEEDLES))
+    + "SELECT la, lt, country, begin_area FROM best",
     "enrich_ranking": _with(CHART, EXT, BEST_MATCH, ENRICHED) + "SELECT * FROM enriched",
     "enrich_artist_totals": _with(CHART, EXT, BEST_MATCH, ENRICHED) + (
         "SELECT CAST(sum(streams) AS BIGINT) AS streams, artist FROM enriched WHERE region = 'NATION_7' GROUP BY artist"

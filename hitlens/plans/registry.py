@@ -61,6 +61,11 @@ def q_containment_match(t: Tables) -> DataFrame:
     return containment_match(needles, last_matches(t.extension()))
 
 
+def q_hot_key_match(t: Tables) -> DataFrame:
+    """Needles of which every key is frequent: the artist and the song of each are in thousands of origins."""
+    return containment_match(t.hot_needles(), last_matches(t.extension()))
+
+
 def q_enrich_from_resolved(t: Tables) -> DataFrame:
     """Ranking -> distinct pairs -> resolution -> resolved pairs as the origin table -> enrichment.
 
@@ -148,6 +153,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "related_works": q_related_works,
     "resolve_pairs": q_resolve_pairs,
     "containment_match": q_containment_match,
+    "hot_key_match": q_hot_key_match,
     "enrich_ranking": lambda t: enrich_ranking(t.chart(), t.extension()),
     "enrich_artist_totals": lambda t: top_artists(enrich_ranking(t.chart(), t.extension()), region=REGION),
     "enrich_origin_totals": q_enrich_origin_totals,

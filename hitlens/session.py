@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "hitlens") -> SparkSession:
@@ -80,3 +80,25 @@ def drop_stored(spark: SparkSession, *paths: str) -> None:
             raise ValueError(f"{path} is not under {root}")
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(conf).delete(where, True)
+
+
+class Intermediates:
+    """Tables written under the shared folder for the length of one job.
+
+    Each cuts the lineage (a lost executor doesn't rerun what made it) and has
+    a size that the planner knows.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = stored_table_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        drop_stored(self.spark, *self.paths)
+        self.paths = []

@@ -1,6 +1,7 @@
 """Origin enrichment: hand-made rule cases and a brute-force restatement."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from hitlens.operators.enrich import enrich_ranking
 from hitlens.plans.fixtures import chart, extension
@@ -107,3 +108,66 @@ def test_intermediates_go_to_the_shared_folder(spark):
     assert not set(glob.glob(os.path.join(shared, "enrich-*"))) - before
     with pytest.raises(ValueError):
         drop_stored(spark, "/somewhere/else")
+
+
+def hot_inputs(spark):
+    """5,000 origins in which every 6-gram of "the band" and "love song" is in nearly all."""
+    from hitlens.operators.enrich import last_matches
+
+    ext = [(i, f"The Band {i % 50}", f"Love Song {i}" if i % 50 != 49 else f"Tune {i}", f"C{i}", "P") for i in range(5000)]
+    return ext, last_matches(spark.createDataFrame(ext, EXT))
+
+
+def test_needles_with_hot_keys_stop_at_their_match(spark):
+    from hitlens.operators import enrich as e
+
+    ext, haystacks = hot_inputs(spark)
+    asked = [("the band", "love song"), ("the band 7", "love song"), ("the band", "love song 1"), ("", "love song"), ("band 4", "song 27"),
+             ("the", "ong"), ("the band 4", "love song 12"), ("band 49", "love song"), ("the band 13", "love song 4963"), ("the band", "love song 3"), ("x", "y")]
+    needles = spark.createDataFrame(asked, "la string, lt string")
+    rank = {}
+    for la, lt in asked:
+        for r, (_, a, s, c, _) in enumerate(reversed(ext)):
+            if la in a.lower() and lt in s.lower():
+                rank[la, lt] = r + 1, c
+                break
+    effort = {(r.la, r.lt): r for r in e.match_effort(needles, haystacks).collect()}
+    assert sum(r.n > 1000 for r in effort.values()) >= 5
+    assert {k for k, r in effort.items() if r.matched} == set(rank)
+    for k, (place, _) in rank.items():
+        assert effort[k].verified < e.FIRST + e.FACTOR * place + 2 * e.BLOCK
+    # Without a match, the postings of the rarest key are all that is verified.
+    assert all(r.verified <= r.n for r in effort.values() if not r.matched)
+    got = {(r.la, r.lt): r.country for r in e.containment_match(needles, haystacks).collect()}
+    assert got == {k: c for k, (_, c) in rank.items()}
+
+
+def test_hot_keys_are_extended(spark):
+    from hitlens.operators import enrich as e
+    from hitlens.session import Intermediates
+
+    _, haystacks = hot_inputs(spark)
+    tables = Intermediates(spark)
+    needles = spark.createDataFrame([("the band", f"love song {i}") for i in range(1000, 1040) if i % 50 != 49], "la string, lt string")
+    origins = tables.stored(e.latest_first(haystacks), "origins")
+    picked, lengths = e.picked_keys(tables.stored(needles, "needles"), origins, tables)
+    # Each of their 6-grams has ten postings at least, most thousands; a 12-gram holds the whole number.
+    assert lengths == [6] and max(r.n for r in picked.collect()) <= e.HOT
+    asked = spark.createDataFrame([("the band", "love song 1")], "la string, lt string")
+    picked, lengths = e.picked_keys(tables.stored(asked, "needles"), origins, tables)
+    assert lengths == [6] and picked.first().n > e.HOT  # too short for a longer key
+    longer = spark.createDataFrame([("the band 1", "xx love song 1")], "la string, lt string")
+    assert e.picked_keys(tables.stored(longer, "needles"), origins, tables)[0].isEmpty()
+    tables.drop()
+
+
+def test_only_picked_keys_are_indexed(spark):
+    from hitlens.operators import enrich as e
+
+    _, haystacks = hot_inputs(spark)
+    asked = spark.createDataFrame([("band 7", "ong 4907")], "la string, lt string")
+    keyed = e._keyed(asked, e._first_keys(F.col("la")), e._first_keys(F.col("lt")))
+    counts = e.key_counts(haystacks.withColumn("hid", F.col("hord")), keyed, [3, 6])
+    assert counts.count() == keyed.select("k").distinct().count() == 4
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "LeftSemi" in plan

@@ -8,6 +8,7 @@ import random
 
 import pytest
 
+from hitlens.operators import enrich
 from hitlens.operators.enrich import enrich_ranking
 from hitlens.operators.resolve import resolve_pairs
 from tests.test_enrich import RANK, EXT, brute_force as enrich_brute
@@ -18,8 +19,10 @@ def word(rng, alphabet="abAB &", max_len=6):
     return "".join(rng.choice(alphabet) for _ in range(rng.randint(0, max_len)))
 
 
-@pytest.mark.parametrize("seed,q", [(1, 3), (3, 2), (4, 4), (5, 1)])
-def test_enrichment_matches_brute_force(spark, seed, q):
+@pytest.mark.parametrize("seed, grams, extended, hot", [(1, (3, 6), (12, 24), 256), (3, (2, 3), (4, 5), 4), (4, (2, 4), (5,), 2), (5, (3, 4), (), 1)])
+def test_enrichment_matches_brute_force(spark, monkeypatch, seed, grams, extended, hot):
+    for name, value in {"GRAMS": grams, "EXTENDED": extended, "HOT": hot, "PAIRED": 1 + seed % 2, "BLOCK": 1 + seed, "FIRST": 1 + seed, "FACTOR": 2}.items():
+        monkeypatch.setattr(enrich, name, value)
     rng = random.Random(seed)
     ranking = [(str(i), word(rng, max_len=4), word(rng, max_len=3), "1", "u", "d", "r") for i in range(150)]
     ext = []
@@ -28,7 +31,7 @@ def test_enrichment_matches_brute_force(spark, seed, q):
         country = (rng.choice(["", "CL", "AR"]) if width >= 4 else None)
         place = rng.choice(["", "P", "Q"]) if width >= 5 else None
         ext.append((rng.randint(0, 10_000) * 100 + i, word(rng, max_len=8), word(rng, max_len=8), country, place))
-    out = enrich_ranking(spark.createDataFrame(ranking, RANK), spark.createDataFrame(ext, EXT), q=q)
+    out = enrich_ranking(spark.createDataFrame(ranking, RANK), spark.createDataFrame(ext, EXT))
     got = sorted((r.track, r.artist, r.date, r.region, r.country, r.begin_area) for r in out.collect())
     rank_dicts = [dict(zip(["position", "track", "artist", "streams", "url", "date", "region"], r)) for r in ranking]
     ext_dicts = [dict(zip(["ord", "artist", "song", "country", "starting_place"], e)) for e in ext]
