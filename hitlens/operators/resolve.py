@@ -22,12 +22,19 @@ is 1:1 between those two reductions: no candidate x work product is formed,
 even for a shared or empty id. Both reductions and the per-request pick are
 ``min``/``min_by`` aggregations, combined map-side before their shuffle.
 
-Fan-out: hits of queries that nobody asks for are pruned first. Candidates and
-works then meet on the artist id, and only the (artist, song) queries so found
-meet the requests, on both columns at once: a request never meets a candidate
-without a work of its song. The empty id is no id to meet on; there, the one
-best candidate and the one best work of a request's two queries are looked up
-by query. The artist-only arm runs once per distinct artist, not per pair.
+Fan-out: hits of queries that nobody asks for are pruned first. Request,
+candidate and work then form a triangle - request (a, s), candidate (a, id),
+work (s, id) - and a plan of two joins in one order could make an intermediate
+far larger than its inputs: an id with thousands of candidates and thousands of
+works multiplies when it is joined on the id first. So ids are split by
+their degrees. A **light** id has at most ``LIGHT`` candidates or at most
+``LIGHT`` works: joined on the id it makes at most ``LIGHT`` rows per row of
+the larger side. A **heavy** id goes through the requests, each of which meets
+only the candidates of its own artist query. No intermediate is larger than
+``LIGHT`` x (candidates + works) + requests x candidates of one query. The
+empty id is no id to meet on; there, the one best candidate and the one best
+work of a request's two queries are looked up by query. The artist-only arm
+runs once per distinct artist, not per pair.
 """
 
 from __future__ import annotations
@@ -39,6 +46,9 @@ from pyspark.sql import functions as F
 
 from hitlens.functions import blank_if_null, length_gap, normalise_artist
 
+# Candidates or works up to which an id is joined on the id.
+LIGHT = 8
+
 RESULT_FIELDS = ("result_artist", "country", "starting_place")
 
 
@@ -94,12 +104,34 @@ def _keyed_requests(requests: DataFrame) -> DataFrame:
     )
 
 
+def heavy_ids(cands: DataFrame, works: DataFrame, light: int = LIGHT) -> DataFrame:
+    """(arid): ids with more than ``light`` candidates and more than ``light`` works.
+
+    Counts are combined map-side; candidates and works have one row per (query, id).
+    """
+    many = [side.where("arid <> ''").groupBy("arid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > light).select("arid") for side in (cands, works)]
+    return many[0].join(many[1], "arid")
+
+
+def by_light_id(req: DataFrame, cands: DataFrame, works: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Requests with the candidates and works that share a light id: on the id first."""
+    of_id = cands.where("arid <> ''").join(heavy, "arid", "left_anti").join(works, "arid")
+    return req.join(of_id, ["a", "s"])
+
+
+def by_heavy_id(req: DataFrame, cands: DataFrame, works: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Requests with the candidates and works that share a heavy id: each request's own candidates first."""
+    asked = req.join(cands.join(heavy, "arid", "left_semi"), "a")
+    return asked.join(works.join(heavy, "arid", "left_semi"), ["s", "arid"])
+
+
 def related_works(
     requests: DataFrame,
     artist_hits: DataFrame,
     work_hits: DataFrame,
     artist_order: Sequence[str] = ("ord",),
     work_order: Sequence[str] = ("ord",),
+    light: int = LIGHT,
 ) -> DataFrame:
     """Best work-backed candidate per (request, artist id).
 
@@ -110,12 +142,12 @@ def related_works(
     work_hits = work_hits.join(req.select(F.col("s").alias("query")).distinct(), "query", "left_semi")
     cands = best_candidates_per_id(artist_hits, artist_order).withColumnRenamed("query", "a")
     works = best_works_per_id(work_hits, work_order).withColumnRenamed("query", "s")
-    of_id = cands.where("arid <> ''").join(works.where("arid <> ''"), "arid")
-    by_id = req.join(of_id, ["a", "s"])
+    heavy = heavy_ids(cands, works, light)
     # At most one row per query on each side.
     blank = req.join(cands.where("arid = ''"), "a").join(works.where("arid = ''").drop("arid"), "s")
     columns = ["artist", "song", "arid", "cs", "ws", "a_ord", "w_ord", "hit"]
-    return by_id.select(columns).unionByName(blank.select(columns)).select(
+    found = by_light_id(req, cands, works, heavy).select(columns).unionByName(by_heavy_id(req, cands, works, heavy).select(columns))
+    return found.unionByName(blank.select(columns)).select(
         "artist", "song", "arid", (F.col("cs") + F.col("ws")).alias("score"), "a_ord", "w_ord", "hit")
 
 

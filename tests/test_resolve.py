@@ -97,3 +97,52 @@ def test_shared_empty_id_forms_no_product(spark):
     rows = rel.collect()
     assert len(rows) == 1  # one row per (request, id), not n * n candidate-work pairs
     assert (rows[0].score, rows[0].a_ord.a0, rows[0].w_ord.w0) == (0, 0, 0)
+
+
+def most_rows(df):
+    """Run ``df``; the most rows that any join of its final plan made."""
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    todo, most = [qe.executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if "Join" in kind:
+            most = max(most, node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return most
+
+
+def test_popular_id_does_not_multiply(spark):
+    from hitlens.operators.resolve import related_works
+
+    n = 1000
+    ahits = [(f"artist {i}", i, f"Artist {i}", "C", "id", "P") for i in range(n)] + [(f"artist {i}", i, f"Artist {i} x", "C", f"own{i}", "P") for i in range(n)]
+    whits = [(f"song {i}", i, "id", f"Song {i}") for i in range(n)] + [(f"song {i}", i, f"own{i}", f"Song {i} y") for i in range(n)]
+    # Every query is asked, but each by one pair, and only ten pairs share their number.
+    asked = [(f"Artist {i}", f"Song {i if i < 10 else (i * 7 + 1) % n}") for i in range(n)]
+    req = spark.createDataFrame(asked, "artist string, song string")
+    ah, wh = spark.createDataFrame(ahits, AH), spark.createDataFrame(whits, WH)
+    rel = related_works(req, ah, wh)
+    assert most_rows(rel) <= 2 * n + 8 * 4 * n  # the id alone would make a million
+    got = {(r.artist, r.song, r.arid) for r in related_works(req, ah, wh).collect()}
+    want = {(a, s, "id") for a, s in asked} | {(a, s, f"own{a.split()[1]}") for a, s in asked if a.split()[1] == s.split()[1]}
+    assert got == want
+
+
+def test_every_split_of_ids_gives_the_same(spark):
+    from hitlens.operators.resolve import related_works
+
+    ahits = [(f"a{q}", 10 * q + i, f"A{q}", "C", f"i{(q * i) % 5}", "P") for q in range(8) for i in range(6)]
+    whits = [(f"s{q}", 10 * q + i, f"i{(q + i) % 5}", f"S{q}") for q in range(8) for i in range(6)]
+    req = spark.createDataFrame([(f"A{i}", f"S{j}") for i in range(8) for j in range(8) if (i + j) % 3], "artist string, song string")
+    ah, wh = spark.createDataFrame(ahits, AH), spark.createDataFrame(whits, WH)
+    results = [sorted(map(str, related_works(req, ah, wh, light=n).collect())) for n in (0, 3, 100)]
+    assert results[0] and results[0] == results[1] == results[2]
