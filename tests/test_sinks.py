@@ -78,7 +78,7 @@ def test_named_writers_use_original_headers(spark, scratch):
         f.write("artist,song,result_artist,country,starting_place\n\nA,\"S, x (live)\",,CL,Lima\n")
     out = os.path.join(scratch, "extended")
     write_extended_ranking(enrich_ranking(read_ranking(spark, src), read_extension(spark, ext)), out)
-    text = "".join(open(f).read() for f in sorted(glob.glob(out + "/part-*")))
+    text = "".join(open(f).read() for f in sorted(glob.glob(out + "/*/part-*")))
     assert text.splitlines() == [
         "Position,Track Name,Artist,Streams,URL,Date,Region,Country,Begin_area",
         "2,B,A,5,u,d,cl,NONE,NONE",
@@ -109,3 +109,68 @@ def test_ranking_table_splits_a_hot_region(spark, scratch):
     assert len(hot_files) >= 3  # the region with 90% of the rows is written by several tasks
     back = spark.read.parquet(out)
     assert back.count() == 4000 and back.where("region = 'cold'").count() == 400
+
+
+def in_small_splits(spark, scratch, n=3000):
+    """A ranking of several files in many splits, with its rows in order."""
+    rows = []
+    for i, name in enumerate(["z.csv", "part-00010.csv", "part-2.csv", "a b.csv"]):
+        body = [f'{j},"T{j % 50}, x{i}",A{j % 7},{j},u{i}-{j},d,cl' for j in range(n // (i + 1))]
+        with open(os.path.join(scratch, name), "w") as f:
+            f.write("Position,Track Name,Artist,Streams,URL,Date,Region\n" + "\n".join(body) + "\n")
+        rows.append([f"u{i}-{j}" for j in range(len(body))])
+    return [os.path.join(scratch, "z.csv"), scratch + "/part-*", os.path.join(scratch, "a b.csv")], rows[0] + rows[2] + rows[1] + rows[3]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_extended_ranking_is_written_in_place(spark, scratch, broadcast):
+    from hitlens.operators.enrich import enrich_ranking
+    from hitlens.sinks.files import in_place, plan_text
+    from hitlens.sources import read_extension, read_ranking
+
+    paths, urls = in_small_splits(spark, scratch)
+    ext = os.path.join(scratch, "ext.txt")
+    with open(ext, "w") as f:
+        f.write("artist,song,result_artist,country,starting_place\n" + "".join(f'A{i % 7},"T{i}, x0",,C{i},P\n' for i in range(50)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m" if broadcast else "-1")
+        enriched = enrich_ranking(read_ranking(spark, paths), read_extension(spark, ext))
+        plan = plan_text(in_place(enriched))
+        assert ("Exchange hashpartitioning" in plan) != broadcast and "rangepartitioning" not in plan
+        out = os.path.join(scratch, "extended")
+        write_extended_ranking(enriched, out)
+        files = sorted(glob.glob(out + "/*/part-*"))
+        assert len(files) > 20
+        listed = [ln.split(",") for f in files for ln in open(f).read().splitlines()[1:]]
+        assert [x[4] for x in listed] == urls
+        assert {x[7] for x in listed} > {"NONE", "C1"}
+        back = read_extended_ranking(spark, out).orderBy("ord").collect()
+        assert [r.url for r in back] == urls
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_resolved_pairs_keep_the_order_of_the_list(spark, scratch):
+    from hitlens.operators.resolve import resolve_pairs
+    from hitlens.sinks import write_resolved
+    from hitlens.sources import read_delimited, read_pairs
+    from tests.test_resolve import AH, WH
+
+    pairs = os.path.join(scratch, "pairs.csv")
+    with open(pairs, "w") as f:
+        f.write("artist,song\n" + "".join(f"Artist {i * 7 % 900},Song\n" for i in range(900)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        hits = spark.createDataFrame([(f"artist {i}", i, f"Artist {i}, x", "C", "", "P") for i in range(0, 900, 2)], AH)
+        found = resolve_pairs(read_pairs(spark, pairs), hits, spark.createDataFrame([], WH))
+        out = os.path.join(scratch, "resolved")
+        write_resolved(found, out)
+        back = read_delimited(spark, out, ("artist", "song", "result_artist", "country", "starting_place")).orderBy("ord").collect()
+        assert [r.artist for r in back] == [f"Artist {i * 7 % 900}" for i in range(900)]
+        assert back[2].result_artist == "Artist 14 x" and len(glob.glob(out + "/*/part-*")) > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
