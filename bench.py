@@ -26,7 +26,7 @@ from hitlens.session import local_session, stored_table_path  # noqa: E402
 # and listed apart, so that the headline sum keeps its meaning.
 FILE_FED = {"top_position_counts_from_csv", "enrich_ranking_from_files", "series_mean_from_tsv", "word_count_from_text",
             "report_headerless_parts", "report_tuples_read_back", "mean_tuples_read_back", "resolved_parts_read_back",
-            "odd_rows_read_back", "ragged_lines"}
+            "odd_rows_read_back", "ragged_lines", "flatten_works_from_dump", "texts_with_line_breaks", "extension_skipping_two"}
 
 
 def run(df) -> None:

@@ -28,7 +28,7 @@ from hitlens.operators import (
 )
 from hitlens.session import shared_dir
 from hitlens.sinks import write_csv, write_extended_ranking, write_resolved, write_tuples
-from hitlens.sources import read_extension, read_lines, read_pairs, read_ranking, read_response_files, read_series
+from hitlens.sources import read_extension, read_lines, read_pairs, read_ranking, read_response_dump, read_response_files, read_series
 
 
 def _job(jobs, name: str, help_text: str, *positional: str) -> argparse.ArgumentParser:
@@ -63,9 +63,12 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--drop-trailing", action="store_true", help="JVM split rule: no trailing empty words")
 
     _job(jobs, "distinct-pairs", "unique (artist, song) pairs of a ranking", "ranking", "output")
-    _job(jobs, "resolve", "best-matching artist for each (artist, song) pair",
-         "pairs", "artist_pages", "work_pages", "output")
-    _job(jobs, "enrich", "append country and begin area to every ranking row", "ranking", "origins", "output")
+    j = _job(jobs, "resolve", "best-matching artist for each (artist, song) pair",
+             "pairs", "artist_pages", "work_pages", "output")
+    j.add_argument("--dump", action="store_true", help="the pages are elements of dump files, not files of their own")
+
+    j = _job(jobs, "enrich", "append country and begin area to every ranking row", "ranking", "origins", "output")
+    j.add_argument("--skip", type=int, help="drop the first N records of the origins instead of a spelled header")
     return p
 
 
@@ -86,12 +89,13 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     elif a.job == "distinct-pairs":
         write_csv(distinct_pairs(read_ranking(spark, a.ranking)), a.output, columns=["artist", "song"])
     elif a.job == "resolve":
-        artists = flatten_artists(read_response_files(spark, a.artist_pages))
-        works = flatten_works(read_response_files(spark, a.work_pages))
+        read_pages = read_response_dump if a.dump else read_response_files
+        artists = flatten_artists(read_pages(spark, a.artist_pages))
+        works = flatten_works(read_pages(spark, a.work_pages))
         resolved = resolve_pairs(read_pairs(spark, a.pairs), artists, works, ("page", "pos"), ("page", "pos", "item"))
         write_resolved(resolved, a.output)
     elif a.job == "enrich":
-        write_extended_ranking(enrich_ranking(read_ranking(spark, a.ranking), read_extension(spark, a.origins)), a.output)
+        write_extended_ranking(enrich_ranking(read_ranking(spark, a.ranking), read_extension(spark, a.origins, skip=a.skip)), a.output)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -273,6 +273,13 @@ ORACLES["enrich_ranking_from_files"] = _with(CHART, EXT, BEST_MATCH, ENRICHED) +
     "       url, date, region, country, begin_area FROM enriched"
 )
 
+ORACLES["flatten_works_from_dump"] = ORACLES["flatten_works"]
+# A line break of any kind is read as one "\n".
+ORACLES["texts_with_line_breaks"] = (
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g') AS text FROM documents")
+ORACLES["extension_skipping_two"] = _with(EXT) + (
+    "SELECT artist, song, coalesce(country, '') AS country, coalesce(starting_place, '') AS starting_place FROM ext")
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

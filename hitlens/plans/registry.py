@@ -25,6 +25,7 @@ from hitlens.sources import (
     read_extension,
     read_lines,
     read_ranking,
+    read_response_dump,
     read_series,
 )
 
@@ -136,6 +137,22 @@ def q_ragged_lines(t: Tables) -> DataFrame:
     return parse_delimited(lines, ["a", "b"]).select("a", "b", "width")
 
 
+def q_flatten_works_from_dump(t: Tables) -> DataFrame:
+    """All work pages as elements of two dump files, read by many tasks."""
+    return flatten_works(read_response_dump(t.spark, files.response_dump(t.work_documents())))
+
+
+def q_texts_with_line_breaks(t: Tables) -> DataFrame:
+    """Whole texts as quoted fields over many lines."""
+    path = files.quoted_csv(t.texts(), ["doc_id", "text"])
+    return read_delimited(t.spark, path, ["doc_id", "text"]).select("doc_id", "text")
+
+
+def q_extension_skipping_two(t: Tables) -> DataFrame:
+    """Many origin files, each of which loses its first two records."""
+    return read_extension(t.spark, files.extension_parts(t.extension()), skip=2).select("artist", "song", "country", "starting_place")
+
+
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "top_position_counts": lambda t: top_position_counts(t.chart(), year=YEAR),
     "top_position_counts_top10": lambda t: top_position_counts(t.chart(), year=YEAR, k=TOP_K),
@@ -171,6 +188,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "resolved_parts_read_back": q_resolved_parts_read_back,
     "odd_rows_read_back": q_odd_rows_read_back,
     "ragged_lines": q_ragged_lines,
+    "flatten_works_from_dump": q_flatten_works_from_dump,
+    "texts_with_line_breaks": q_texts_with_line_breaks,
+    "extension_skipping_two": q_extension_skipping_two,
 }
 
 

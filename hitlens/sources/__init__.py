@@ -14,8 +14,10 @@ from hitlens.sources.delimited import (
     read_pairs,
     read_ranking,
     read_series,
+    records,
+    skip_records,
 )
-from hitlens.sources.xml import read_response_files, read_xml_documents
+from hitlens.sources.xml import read_response_dump, read_response_files, read_xml_documents
 
 __all__ = [
     "EXTENDED_FIELDS",
@@ -31,6 +33,9 @@ __all__ = [
     "read_pairs",
     "read_ranking",
     "read_series",
+    "records",
+    "skip_records",
+    "read_response_dump",
     "read_response_files",
     "read_xml_documents",
 ]

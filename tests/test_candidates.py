@@ -101,3 +101,40 @@ def test_broken_pages_fail(spark):
     for flatten in (flatten_artists, flatten_works):
         with pytest.raises(Exception):
             flatten(docs(spark, "<metadata><artist-list><artist>")).collect()
+
+
+def test_response_dump_is_read_by_many_tasks(spark, scratch):
+    import os
+
+    from hitlens.sources import read_response_dump
+
+    pages, text = [], "<?xml version='1.0'?>\n<responses>\n"
+    for i in range(200):
+        query, page = ['a "b" & <c>', "é  x", "", f"q{i}"][i % 4], i // 4
+        artists = "".join(f'<artist id="{i}-{j}"><name>N {j}\n&amp; co</name></artist>' for j in range(i % 9))
+        pages.append((query, page, i % 9))
+        named = query.replace("&", "&amp;").replace("<", "&lt;").replace('"', "&quot;")
+        head = f' query="{named}"' if query else ""
+        text += f"<response{head}\n page='{page}' >\r\n<metadata><artist-list>{artists}</artist-list></metadata></response>" + "\n" * (i % 3)
+    with open(os.path.join(scratch, "dump.xml"), "w", newline="", encoding="utf-8") as f:
+        f.write(text + "</responses>\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        docs = read_response_dump(spark, os.path.join(scratch, "dump.xml"))
+        assert docs.rdd.getNumPartitions() > 50
+        assert sorted((r.query, r.page) for r in docs.collect()) == sorted((q, p) for q, p, _ in pages)
+        out = rows(flatten_artists(docs), "query", "page", "pos", "name", "arid")
+        assert out == sorted((q, p, j, f"N {j}\n& co", f"{i}-{j}") for i, (q, p, n) in enumerate(pages) for j in range(n))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_response_dump_without_pages(spark, scratch):
+    import os
+
+    from hitlens.sources import read_response_dump
+
+    with open(os.path.join(scratch, "d.xml"), "w") as f:
+        f.write("<responses>\n</responses>\n")
+    assert read_response_dump(spark, scratch).count() == 0
