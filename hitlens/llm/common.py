@@ -38,6 +38,19 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def boxed(docs: DataFrame) -> Column:
+    """All columns of ``docs`` in one struct, named ``row``: out of the way of an operator's own names.
+
+    ``select("row.*")`` brings them back.
+    """
+    return F.struct(*[own(c) for c in docs.columns]).alias("row")
+
+
+def own(name: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` under the shared folder and read it back.
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from hitlens.llm.common import bounded_batches, stored, utf8
+from hitlens.llm.common import bounded_batches, boxed, own, stored, utf8
 from hitlens.llm.graph import components
 
 SHINGLE = 4
@@ -214,13 +214,14 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     of_root = of_fp.join(named, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.key", "first.text_hash")
     repeats = marked.groupBy("key", "text_hash").agg(F.count("*").alias("n")).where("n > 1").withColumnsRenamed({"key": "k", "text_hash": "h"})
     again = F.col("key").eqNullSafe(F.col("k")) & (F.col("text_hash") == F.col("h"))
-    stay = of_root.join(repeats, again, "left").select(F.col("key").alias("_stay"), F.col("text_hash").alias("_stay_text"), F.coalesce("n", F.lit(1)).alias("_copies"))
+    stay = of_root.join(repeats, again, "left").select(F.col("key").alias("stay_key"), F.col("text_hash").alias("stay_text"), F.coalesce("n", F.lit(1)).alias("copies"))
     stay = stored(stay, "survivors")
-    same = F.col(key).eqNullSafe(F.col("_stay")) & (F.xxhash64(F.col(text)) == F.col("_stay_text"))
-    only = lambda which: docs.join(stay.where(which), same, "left_semi")
+    rows = docs.select(boxed(docs), own(key).alias("own_key"), F.xxhash64(own(text)).alias("own_text"))
+    same = F.col("own_key").eqNullSafe(F.col("stay_key")) & (F.col("own_text") == F.col("stay_text"))
+    only = lambda which: rows.join(stay.where(which), same, "left_semi")
     # A row has copies only if key and text repeat; those alone are regrouped.
-    twice = only("_copies > 1").withColumn("_text", F.xxhash64(F.col(text))).dropDuplicates([key, "_text"]).drop("_text")
-    return only("_copies = 1").unionByName(twice)
+    twice = only("copies > 1").dropDuplicates(["own_key", "own_text"])
+    return only("copies = 1").unionByName(twice).select("row.*")
 
 
 def simhash_digest(docs: DataFrame) -> DataFrame:
