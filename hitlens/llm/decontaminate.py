@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitlens.llm.common import ascii_lower, stored
+from hitlens.llm.common import ascii_lower, boxed, own, stored
 
 WINDOW = 13
 GRAM = 5
+RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 #: Runs of a-z, 0-9 and everything beyond ASCII; then the same before lower-casing.
 #: Spelled by what belongs to a word, with letters first: that matches fastest.
 WORD = r"[a-z0-9\x{80}-\x{10FFFF}]+"
@@ -93,7 +94,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     windows = stored(benchmark_windows(benchmark, item, item_text, window), "benchmark-spans")
     # At most ``window`` lengths.
     spans = sorted(r.span for r in windows.select("span").distinct().collect()) or [window]
-    texts = docs.select(F.col(key).alias("doc"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).cast("string").alias("text"))
+    texts = docs.select(own(key).alias("doc"), F.xxhash64(own(text)).alias("text_hash"), own(text).cast("string").alias("text"))
     hits = hit_windows(texts, windows, spans)
     # At most a row per document: positions and ids are sets within one text.
     found = stored(
@@ -104,15 +105,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
             F.expr("size(array_distinct(flatten(transform(at, x -> sequence(x.at, x.at + x.span - 1)))))").cast("long").alias("_n_hit"),
             F.size("items").cast("long").alias("_n_items"), F.sha2(F.array_join("items", ","), 256).alias("_sha")),
         "contaminated-documents")
-    counted = docs.withColumns({"n_words": F.regexp_count(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(ANY_CASE_WORD)).cast("long"),
-                                "_hash": F.coalesce(F.xxhash64(F.col(text)), F.lit(0))})
-    met = counted.join(found, F.col(key).eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_text_hash")), "left")
-    return met.withColumns({
-        "n_hit": F.coalesce("_n_hit", F.lit(0)),
-        "n_items": F.coalesce("_n_items", F.lit(0)),
-        "items_sha256": F.coalesce("_sha", F.sha2(F.lit(""), 256)),
-        "contaminated": F.coalesce((F.col("_n_hit") > 0) & (20 * F.col("_n_hit") >= F.col("n_words")), F.lit(False)),
-    }).drop("_doc", "_text_hash", "_n_hit", "_n_items", "_sha", "_hash")
+    n_words = F.regexp_count(F.coalesce(own(text).cast("string"), F.lit("")), F.lit(ANY_CASE_WORD)).cast("long")
+    counted = docs.select(boxed(docs), own(key).alias("own_key"), F.coalesce(F.xxhash64(own(text)), F.lit(0)).alias("own_hash"), n_words.alias("words"))
+    met = counted.join(found, F.col("own_key").eqNullSafe(F.col("_doc")) & (F.col("own_hash") == F.col("_text_hash")), "left")
+    return met.select(
+        *[F.col("row")[c].alias(c) for c in docs.columns if c not in RESULTS],
+        F.col("words").alias("n_words"),
+        F.coalesce("_n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("_n_items", F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("_sha", F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        F.coalesce((F.col("_n_hit") > 0) & (20 * F.col("_n_hit") >= F.col("words")), F.lit(False)).alias("contaminated"),
+    )
 
 
 def contamination_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
