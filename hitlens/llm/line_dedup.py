@@ -4,8 +4,8 @@ Runs are sorted by line hash and hold each line once, with its documents and
 its largest document. Each batch of documents is merge-anti-joined with the
 runs; the lines that none of them holds become a run of its own, and what the
 batch adds to known lines is kept beside the runs. Full levels are compacted
-into a run of the next level. Lines that the whole index finds frequent are
-then dropped. DataFrame functions only.
+into a run of the next level, and the additions with each other. Lines that the
+whole index finds frequent are then dropped. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -15,12 +15,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm.common import BLANKS, ascii_lower, stored
+from hitlens.llm.common import BLANKS, ascii_lower, boxed, own, stored
 
 LEAST_CHARS = 40
 LEAST_DOCS = 5
 #: Runs per level before they are merged into one run of the next level.
 FANOUT = 4
+#: Batches that one table is cut into, enough to compact a level twice.
+BATCHES = 2 * FANOUT + 1
 HASH = ("h1", "h2")
 
 
@@ -41,9 +43,9 @@ def _hashes(key: Column) -> list[Column]:
 def document_lines(docs: DataFrame, key: str, text: str, least_chars: int = LEAST_CHARS) -> DataFrame:
     """(doc, text_hash, h1, h2): each long line key of each document, once a document."""
     long = lambda x: F.char_length(x) >= least_chars
-    keys = F.array_distinct(F.filter(F.transform(F.filter(lines_of(F.col(text)), long), line_key), long))
+    keys = F.array_distinct(F.filter(F.transform(F.filter(lines_of(own(text)), long), line_key), long))
     # The outer form: the other pushes a filter that computes the array once more.
-    found = docs.select(F.col(key).alias("doc"), F.xxhash64(F.col(text)).alias("text_hash"), F.explode_outer(keys).alias("line"))
+    found = docs.select(own(key).alias("doc"), F.xxhash64(own(text)).alias("text_hash"), F.explode_outer(keys).alias("line"))
     return found.where(F.col("line").isNotNull()).select("doc", "text_hash", *_hashes(F.col("line")))
 
 
@@ -78,6 +80,13 @@ class LineRuns:
         batch = stored(batch, "line-batch")
         fresh = self._write(self.unseen(batch), 0)
         self.additions.append(stored(batch.join(fresh, list(HASH), "left_anti"), "line-additions"))
+        if len(self.additions) >= self.fanout:
+            self.additions = [stored(self._summed(self.additions), "line-additions")]
+
+    @staticmethod
+    def _summed(rows: list[DataFrame]) -> DataFrame:
+        whole = reduce(DataFrame.unionByName, rows)
+        return whole.groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
 
     def unseen(self, lines: DataFrame) -> DataFrame:
         """The rows of ``lines`` whose hash is in no run: a merge-anti-join with each run."""
@@ -85,46 +94,48 @@ class LineRuns:
 
     def frequent(self, least_docs: int = LEAST_DOCS) -> DataFrame:
         """(h1, h2, max_doc) of the lines found in at least ``least_docs`` documents of all batches."""
-        rows = reduce(DataFrame.unionByName, self.runs + self.additions)
-        whole = rows.groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
-        return whole.where(F.col("n_docs") >= least_docs).select(*HASH, "max_doc")
-
-
-def drop_repeated_lines(batches: list[DataFrame], key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS,
-                        least_docs: int = LEAST_DOCS, runs: LineRuns | None = None) -> DataFrame:
-    """Per row of all batches (own columns kept, ``text`` rewritten): n_lines, n_dropped and the text that is left.
-
-    A line whose key has ``least_chars`` characters and occurs in
-    ``least_docs`` documents stays only in the document of the largest key;
-    other lines stay as they are. Each row counts as a document: repeated rows
-    count each and, being largest, all keep their lines. A null key is smaller
-    than any other. A null or empty text has one empty line, and a row that
-    loses nothing keeps its text, null included. Columns n_lines and n_dropped
-    are replaced. Empty tables give empty results.
+        return self._summed(self.runs + self.additions).where(F.col("n_docs") >= least_docs).select(*HASH, "max_doc")
+
+
+def drop_repeated_lines(docs: DataFrame | list[DataFrame], key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS,
+                        least_docs: int = LEAST_DOCS, runs: LineRuns | None = None, batches: int = BATCHES) -> DataFrame:
+    """Per row (own columns kept, ``text`` rewritten): n_lines, n_dropped and the text that is left.
+
+    ``docs`` is one table, cut into ``batches`` by a hash of key and text, or a
+    list of tables, each a batch. A line whose key has ``least_chars``
+    characters and occurs in ``least_docs`` documents stays only in the
+    document of the largest key; other lines stay as they are. Each row counts
+    as a document: repeated rows count each and, being largest, all keep their
+    lines. A null key is smaller than any other. A null or empty text has one
+    empty line, and a row that loses nothing keeps its text, null included.
+    Columns n_lines and n_dropped are replaced. Empty tables give empty results.
     """
-    spark = batches[0].sparkSession
-    index = runs or LineRuns(spark)
-    stores = []
-    for batch in batches:
-        lines = stored(document_lines(batch, key, text, least_chars), "document-lines")
-        index.add(lines)
-        stores.append(lines)
+    given = docs if isinstance(docs, list) else [docs]
+    index = runs or LineRuns(given[0].sparkSession)
+    cut = F.pmod(F.xxhash64("doc", "text_hash"), F.lit(batches)).cast("int")
+    found = [document_lines(d, key, text, least_chars).withColumn("batch", F.lit(i) if isinstance(docs, list) else cut) for i, d in enumerate(given)]
+    # The texts are read once for all batches.
+    lines = stored(reduce(DataFrame.unionByName, found), "document-lines", ("batch",))
+    for i in range(len(given) if isinstance(docs, list) else batches):
+        index.add(lines.where(F.col("batch") == i).drop("batch"))
     frequent = stored(index.frequent(least_docs), "frequent-lines")
     doomed = (
-        reduce(DataFrame.unionByName, stores).join(frequent, list(HASH)).where(~F.col("doc").eqNullSafe(F.col("max_doc")))
-        .groupBy(F.col("doc").alias("_doomed_doc"), F.col("text_hash").alias("_doomed_text"))
-        .agg(F.collect_set(F.struct(*HASH)).alias("_doomed"))
+        lines.join(frequent, list(HASH)).where(~F.col("doc").eqNullSafe(F.col("max_doc")))
+        .groupBy(F.col("doc").alias("doomed_doc"), F.col("text_hash").alias("doomed_text"))
+        .agg(F.collect_set(F.struct(*HASH)).alias("doomed"))
+    )
+    whole = reduce(DataFrame.unionByName, given)
+    rows = whole.select(boxed(whole), own(key).alias("own_key"), own(text).alias("own_text"))
+    met = rows.join(doomed, F.col("own_key").eqNullSafe(F.col("doomed_doc")) & (F.xxhash64("own_text") == F.col("doomed_text")), "left")
+    stays = lambda x: (F.char_length(x) < least_chars) | ~F.array_contains(F.col("doomed"), F.struct(*_hashes(line_key(x))))
+    n_lines = F.size(lines_of(F.col("own_text")))
+    met = met.withColumn("left", F.when(F.col("doomed").isNotNull(), F.filter(lines_of(F.col("own_text")), stays)))
+    kept = F.when(F.col("left").isNull(), F.col("own_text")).otherwise(F.array_join("left", "\n"))
+    return met.select(
+        *[(kept if c == text else F.col("row")[c]).alias(c) for c in whole.columns if c not in ("n_lines", "n_dropped")],
+        n_lines.cast("long").alias("n_lines"),
+        F.when(F.col("left").isNull(), 0).otherwise(n_lines - F.size("left")).cast("long").alias("n_dropped"),
     )
-    docs = reduce(DataFrame.unionByName, batches)
-    met = docs.join(doomed, F.col(key).eqNullSafe(F.col("_doomed_doc")) & (F.xxhash64(F.col(text)) == F.col("_doomed_text")), "left")
-    stays = lambda x: (F.char_length(x) < least_chars) | ~F.array_contains(F.col("_doomed"), F.struct(*_hashes(line_key(x))))
-    n_lines = F.size(lines_of(F.col(text)))
-    met = met.withColumn("_stay", F.when(F.col("_doomed").isNotNull(), F.filter(lines_of(F.col(text)), stays)))
-    return met.withColumns({
-        "n_lines": n_lines.cast("long"),
-        "n_dropped": F.when(F.col("_stay").isNull(), 0).otherwise(n_lines - F.size("_stay")).cast("long"),
-        text: F.when(F.col("_stay").isNull(), F.col(text)).otherwise(F.array_join("_stay", "\n")),
-    }).drop("_doomed_doc", "_doomed_text", "_doomed", "_stay")
 
 
 def file_batches(spark: SparkSession, path: str, batches: int = 2) -> list[DataFrame]:
@@ -136,8 +147,8 @@ def file_batches(spark: SparkSession, path: str, batches: int = 2) -> list[DataF
     return [spark.read.schema(table.schema).parquet(*files[i::batches]) for i in range(batches)]
 
 
-def line_digest(batches: list[DataFrame]) -> DataFrame:
-    left = drop_repeated_lines([b.select("doc_id", "text") for b in batches])
+def line_digest(docs: DataFrame) -> DataFrame:
+    left = drop_repeated_lines(docs.select("doc_id", "text"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -84,7 +84,7 @@ def test_components_of_chains_hubs_and_repeats(spark):
 @pytest.mark.parametrize("docs_of", [awkward_documents, small_documents])
 def test_line_dedup_matches_sql(spark, docs_of):
     docs = docs_of(spark)
-    got, want = against_sql(line_dedup.line_digest([docs]), line_dedup.LINE_SQL, documents=docs.select("doc_id", "text").toPandas().astype({"doc_id": "Int64"}))
+    got, want = against_sql(line_dedup.line_digest(docs), line_dedup.LINE_SQL, documents=docs.select("doc_id", "text").toPandas().astype({"doc_id": "Int64"}))
     assert got == want
     assert sum(r[2] for r in got if len(r) > 2) >= 0
 
@@ -95,12 +95,60 @@ def test_line_batches_and_levels_agree_with_one_batch(spark):
     batches = [docs.where(f"pmod(coalesce(doc_id, 0), 9) = {i}") for i in range(9)]
     runs = line_dedup.LineRuns(spark, fanout=2)
     cut = line_dedup.drop_repeated_lines(batches, runs=runs)
-    assert [len(level) for level in runs.levels] == [1, 0, 0, 1]
+    assert [len(level) for level in runs.levels] == [1, 0, 0, 1] and len(runs.additions) == 1
     assert as_rows(whole) == as_rows(cut) and set(docs.columns) < set(whole.columns)
     assert whole.where("n_dropped > 0").count() > 0
     assert line_dedup.drop_repeated_lines([docs.limit(0)]).count() == 0
 
 
+def test_one_table_goes_through_levels(spark, scratch):
+    """A table in one file is cut into batches too: two full levels are compacted, one run is left at the first."""
+    awkward_documents(spark).coalesce(1).write.parquet(f"{scratch}/one")
+    docs = spark.read.parquet(f"{scratch}/one")
+    runs = line_dedup.LineRuns(spark)
+    whole = line_dedup.drop_repeated_lines(docs, runs=runs)
+    assert len(docs.inputFiles()) == 1 and [len(level) for level in runs.levels] == [1, 2]
+    assert len(runs.additions) < runs.fanout and sum(a.count() for a in runs.additions) > 0
+    assert as_rows(whole) == as_rows(line_dedup.drop_repeated_lines([docs]))
+    hashes = runs.runs[0].unionByName(runs.runs[1]).unionByName(runs.runs[2])
+    assert hashes.count() == hashes.select("h1", "h2").distinct().count()  # a line is in one run only
+
+
+#: Every name that the operators use inside or return.
+INNER = ("row own_key own_text own_hash stay_key stay_text copies doomed doomed_doc doomed_text left words _doc _text_hash _n_hit _n_items _sha _hash _stay _text "
+         "_doomed fp root component_id key text_hash doc h1 h2 max_doc n_docs batch mark marks hashes grams a.b `odd` kept bits quality").split()
+RESULTS = ("n_lines", "n_dropped", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def with_inner_names(spark):
+    from pyspark.sql import functions as F
+
+    docs = awkward_documents(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    names = [*INNER, *RESULTS]
+    return docs.select("*", *[F.concat(F.lit(f"{n}!"), F.col("doc_id").cast("string")).alias(n) for n in names])
+
+
+def unchanged(before, after, but=()):
+    """Every kept row of ``after`` has the columns of its document."""
+    names = [c for c in before.columns if c not in but]
+    rows = {str([r[c] for c in names]) for r in before.collect()}
+    assert set(before.columns) <= set(after.columns)
+    assert all(str([r[c] for c in names]) in rows for r in after.collect())
+
+
+def test_no_extra_column_is_lost_or_changed(spark):
+    docs = with_inner_names(spark)
+    near = simhash.drop_near_duplicates(docs)
+    unchanged(docs, near)
+    assert near.columns == docs.columns and 0 < near.count() < docs.count()
+    lines = line_dedup.drop_repeated_lines(docs)
+    unchanged(docs, lines, ("text", "n_lines", "n_dropped"))
+    assert lines.count() == docs.count() and lines.schema["n_lines"].dataType.simpleString() == "bigint"
+    judged = decontaminate.contamination(docs, spark.createDataFrame(BENCH, "item_id long, text string"))
+    unchanged(docs, judged, RESULTS[2:])
+    assert judged.count() == docs.count() and {r.contaminated for r in judged.select("contaminated").collect()} == {False}
+
+
 def test_file_batches_hold_the_whole_table(spark, scratch):
     docs = awkward_documents(spark)
     docs.repartition(5).write.parquet(f"{scratch}/docs")

@@ -10,7 +10,7 @@ from __spark_entry__ import queries
 from hitlens.llm import quality
 from hitlens.llm.common import stored
 from tests.llm.data import SMALL, as_rows, awkward_documents, small_documents
-from tests.llm.test_dedup_operators import plain_components, plain_fingerprint
+from tests.llm.test_dedup_operators import plain_components, plain_fingerprint, unchanged, with_inner_names
 from tests.llm.test_packing import check_whole_sequences, pieces_of
 
 
@@ -98,7 +98,17 @@ def test_repeated_and_null_rows_pass_through(spark):
         assert stage(spark, empty, SMALL).count() == 0
 
 
-def test_registered_with_the_ten_operators(spark):
+def test_registered_with_the_operators(spark):
     names = queries()
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
     assert names["pipeline"](spark, SMALL).count() > 0
+
+
+def test_no_extra_column_is_lost_or_changed_by_a_stage(spark):
+    docs = with_inner_names(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stored(stage(spark, docs, SMALL), name)
+        assert after.columns == docs.columns and after.schema == docs.schema, name
+        unchanged(docs, after, ("text", "n_chars") if name == "line_dedup" else ())
+        docs = after
+    assert docs.count() and corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count()
