@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm.common import stored
+from hitlens.llm.common import boxed, stored
 from hitlens.llm.decontaminate import contamination
 from hitlens.llm.line_dedup import drop_repeated_lines
 from hitlens.llm.packing import packing_digest
@@ -26,11 +26,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that many share; n_chars follows a changed text."""
-    left = drop_repeated_lines([docs])
-    if "n_chars" in docs.columns:
-        size = F.when(F.col("n_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-        left = left.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    left = drop_repeated_lines(docs.select("doc_id", "text", boxed(docs)))
+    size = F.when(F.col("n_dropped") > 0, F.char_length("text")).otherwise(F.col("row")["n_chars"]) if "n_chars" in docs.columns else None
+    new = {"text": F.col("text"), "n_chars": size}
+    return left.select(*[(new[f.name].cast(f.dataType) if f.name in new else F.col("row")[f.name]).alias(f.name) for f in docs.schema.fields])
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +39,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no more than the allowed share of benchmark passages."""
-    judged = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return judged.where("NOT contaminated").select(*docs.columns)
+    judged = contamination(docs.select("doc_id", "text", boxed(docs)), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return judged.where("NOT contaminated").select("row.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
