@@ -82,6 +82,12 @@ def drop_stored(spark: SparkSession, *paths: str) -> None:
         where.getFileSystem(conf).delete(where, True)
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written there to the end."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
 class Intermediates:
     """Tables written under the shared folder for the length of one job.
 
