@@ -11,12 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm.common import boxed, stored
+from hitlens.llm.common import boxed
 from hitlens.llm.decontaminate import contamination
 from hitlens.llm.line_dedup import drop_repeated_lines
-from hitlens.llm.packing import packing_digest
+from hitlens.llm.packing import pack_documents
 from hitlens.llm.quality import apply_policy
 from hitlens.llm.simhash import drop_near_duplicates
+from hitlens.session import Intermediates, is_written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +45,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces, packed into sequences."""
-    return packing_digest(docs)
+    """The documents' pieces with their token ids (little-endian unsigned 32-bit), packed into sequences."""
+    return pack_documents(docs, keep_ids=True).withColumnRenamed("key", "doc_id")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -60,8 +61,24 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+    """All stages over the documents of ``sf_dir``.
+
+    With ``root``, a shared folder, every stage's table stays there under its
+    name, and one that was written to the end is not made again: a run that was
+    cut short goes on after its last stage. Otherwise the stages' tables are
+    deleted once the last stage has read them.
+    """
+    tables = Intermediates(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace("_", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if root is None:
+            docs = tables.stored(stage(spark, docs, sf_dir), name.replace("_", "-"))
+            continue
+        path = f"{root.rstrip('/')}/{name}"
+        if not is_written(spark, path):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+        docs = spark.read.parquet(path)
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    tables.drop()
+    return packed
