@@ -2,8 +2,12 @@
 
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import queries
@@ -112,3 +116,25 @@ def test_no_extra_column_is_lost_or_changed_by_a_stage(spark):
         unchanged(docs, after, ("text", "n_chars") if name == "line_dedup" else ())
         docs = after
     assert docs.count() and corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count()
+
+
+def test_a_run_goes_on_after_its_last_stage(spark, scratch, monkeypatch):
+    whole = as_rows(corpus_pipeline.run(spark, SMALL), "doc_id", "piece", "length", "ids")
+    calls = []
+    spied = [(name, lambda spark, docs, sf_dir, name=name, stage=stage: calls.append(name) or stage(spark, docs, sf_dir)) for name, stage in corpus_pipeline.STAGES]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", spied)
+    assert as_rows(corpus_pipeline.run(spark, SMALL, scratch), "doc_id", "piece", "length", "ids") == whole
+    (Path(scratch) / "benchmark_decontamination" / "_SUCCESS").unlink()
+    calls.clear()
+    assert as_rows(corpus_pipeline.run(spark, SMALL, scratch), "doc_id", "piece", "length", "ids") == whole
+    assert calls == ["benchmark_decontamination", "best_fit_packing"]
+
+
+def test_packed_ids_are_the_documents_tokens(spark, corpus):
+    docs = corpus.limit(60)
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {}
+    for r in sorted(corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect(), key=lambda r: (r.doc_id, r.start)):
+        got.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+    want = {r.doc_id: own.encode(r.text or "", add_special_tokens=False).ids + [0] for r in docs.collect()}
+    assert got == want
