@@ -25,8 +25,10 @@ from hitlens.llm.common import bounded_batches, stored
 CAPACITY = 2048
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-#: Pieces of one length are numbered in so many parts.
-PARTS = 64
+#: Pieces of one length are numbered in parts of about so many.
+PART_ROWS = 4096
+#: Parts up to which their first ranks are sent to all tasks (some 24 bytes each).
+BROADCAST_PARTS = 1 << 20
 
 
 class ByteBpe:
@@ -160,14 +162,18 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = spark.createDataFrame(placements(best_two_fit(counts, capacity)),
                                  "length long, rank_from long, rank_to long, first_sequence long, offset long")
-    part = F.pmod(F.xxhash64("key", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")
-    dealt = pieces.withColumn("part", part)
-    # At most capacity * PARTS rows.
+    parts = spark.createDataFrame([(length, -(-n // PART_ROWS)) for length, n in counts.items()], "length long, parts long")
+    part = F.pmod(F.xxhash64("key", "piece", "ids_crc32"), F.col("parts"))
+    # At most ``capacity`` rows.
+    dealt = pieces.join(F.broadcast(parts), "length").withColumn("part", part)
+    # A row per part: at most ``capacity`` and one for every PART_ROWS pieces.
     before_it = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("length", "part").agg(F.count("*").alias("n")).select(
         "length", "part", F.coalesce(F.sum("n").over(before_it), F.lit(0)).alias("before"))
+    few = capacity + sum(counts.values()) // PART_ROWS <= BROADCAST_PARTS
     place = F.row_number().over(Window.partitionBy("length", "part").orderBy("key", "piece", "start", "ids_crc32")) - 1
-    ranked = dealt.withColumn("place", place).join(F.broadcast(starts), ["length", "part"]).withColumn("rank", F.col("before") + F.col("place"))
+    numbered = dealt.withColumn("place", place)
+    ranked = numbered.join(F.broadcast(starts) if few else starts, ["length", "part"]).withColumn("rank", F.col("before") + F.col("place"))
     return (
         ranked.join(F.broadcast(plan.withColumnRenamed("length", "of")), F.expr("length = of AND rank BETWEEN rank_from AND rank_to"))
         .withColumn("sequence_id", F.expr("first_sequence + rank - rank_from"))
