@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitlens.functions import blank_if_null, length_gap, normalise_artist
+from hitlens.session import Intermediates
 
 # Candidates or works up to which an id is joined on the id.
 LIGHT = 8
@@ -135,14 +136,19 @@ def related_works(
 ) -> DataFrame:
     """Best work-backed candidate per (request, artist id).
 
+    The reductions run now and are written to the shared folder, from which the
+    result reads them; ``drop_stored`` removes the tables named ``resolve-``.
+
     Columns: artist, song, arid, score, a_ord, w_ord, hit (struct of the result fields).
     """
     req = _keyed_requests(requests)
     artist_hits = artist_hits.join(req.select(F.col("a").alias("query")).distinct(), "query", "left_semi")
     work_hits = work_hits.join(req.select(F.col("s").alias("query")).distinct(), "query", "left_semi")
-    cands = best_candidates_per_id(artist_hits, artist_order).withColumnRenamed("query", "a")
-    works = best_works_per_id(work_hits, work_order).withColumnRenamed("query", "s")
-    heavy = heavy_ids(cands, works, light)
+    # Each is read several times below: written once, not reduced again for every use.
+    tables = Intermediates(requests.sparkSession)
+    cands = tables.stored(best_candidates_per_id(artist_hits, artist_order).withColumnRenamed("query", "a"), "resolve-candidates")
+    works = tables.stored(best_works_per_id(work_hits, work_order).withColumnRenamed("query", "s"), "resolve-works")
+    heavy = tables.stored(heavy_ids(cands, works, light), "resolve-heavy")
     # At most one row per query on each side.
     blank = req.join(cands.where("arid = ''"), "a").join(works.where("arid = ''").drop("arid"), "s")
     columns = ["artist", "song", "arid", "cs", "ws", "a_ord", "w_ord", "hit"]
