@@ -16,7 +16,7 @@ def write(directory, name, text):
 
 
 def lines(path):
-    return [ln for f in sorted(glob.glob(path + "/part-*")) for ln in open(f).read().splitlines()]
+    return [ln for f in sorted(glob.glob(path + "/**/part-*", recursive=True)) for ln in open(f).read().splitlines()]
 
 
 def test_reports(spark, scratch):
