@@ -12,6 +12,7 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hitlens.llm.common import stored
 from hitlens.session import stored_table_path
 
 SLOTS = 4096
@@ -107,7 +108,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, key: str = "doc_id", text
     """
     spark = docs.sparkSession
     path = map_path or stored_table_path(spark, "slot-map")
-    placed = placed_slots(docs, key, text)
+    placed = stored(placed_slots(docs, key, text), "placed-slots")  # narrow: the texts are read once
     loads = slot_loads(placed)
     if version == 1:
         owner = largest_first(loads, shards)
