@@ -5,8 +5,8 @@ its least gram hash, which depends on the window's bytes alone. Equal windows
 thus have equal anchors, and only suffixes at anchors are sorted. A packet of
 documents sorts its anchored suffixes into runs, the runs are front-coded and
 exchanged by ranges, and a loser tree merges them without ever comparing a
-prefix again that is known to be common. Neighbours in the merged order that
-share their gram decide which windows occur twice.
+prefix again that is known to be common. The lengths that neighbours have in
+common, as the merge found them, decide which windows occur twice.
 
 Grams that are found only once in the corpus cannot be part of a repeat, so
 their suffixes are not exchanged. Windows around a gram found very often are
@@ -38,10 +38,10 @@ CHUNK = 1 << 20
 FREQUENT = 1 << 16
 #: Suffixes of one range of the merge, about.
 RANGE = 50_000
-#: A group of up to so many different suffixes is compared pair by pair.
-FEW = 8
+#: Suffixes decided together, about.
+BATCH = 20_000
 #: Packets are smaller here than elsewhere: their suffixes are objects.
-PACKET_BYTES = 16 << 20
+PACKET_BYTES = 8 << 20
 _MASK = np.uint64((1 << 21) - 1)
 
 
@@ -230,58 +230,61 @@ def merged(runs: list[Iterator[tuple[int, bytes, bytes, int, int]]]) -> Iterator
             node //= 2
 
 
-def repeated_windows(group: list[tuple[bytes, bytes, int]]) -> list[np.ndarray | None]:
-    """Per suffix (right without its hash, left, occurrences) of one gram: which
-    of its windows occur elsewhere too. None: all. The suffixes are different."""
-    out: list[np.ndarray] = [np.zeros(len(left) + len(right) - LENGTH + 1, bool) for right, left, _ in group]
-
-    def mark(i: int, low: int, high: int) -> None:
-        """The windows that reach from ``low`` to ``high`` bytes to the left of the anchor."""
-        n = len(group[i][1])
-        if low <= high:
-            out[i][max(n - high, 0) : max(n - low + 1, 0)] = True
-
-    if len(group) <= FEW:
-        for i, (right, left, _) in enumerate(group):
-            for j in range(i):
-                low = LENGTH - common(right, group[j][0])
-                high = common(left[::-1], group[j][1][::-1])
-                mark(i, low, high)
-                mark(j, low, high)
-    else:
-        lefts = [len(left) for _, left, _ in group]
-        wholes = [left + right for right, left, _ in group]
-        for offset in range(max(lefts) + 1):  # one offset at a time bounds what is held
-            seen: dict[bytes, int] = {}
-            for i, (n, whole) in enumerate(zip(lefts, wholes, strict=True)):
-                p = n - offset
-                if 0 <= p < len(out[i]):
-                    other = seen.setdefault(whole[p : p + LENGTH], i)
-                    if other != i:
-                        out[i][p] = out[other][lefts[other] - offset] = True
-    return [None if n > 1 or marks.all() else marks for (_, _, n), marks in zip(group, out, strict=True)]
+def runs_of(known: np.ndarray, least: int) -> np.ndarray:
+    """The number of each sorted string's run: strings whose first ``least`` bytes are the same.
+
+    ``known`` is what each has in common with the one before it.
+    """
+    return np.cumsum(known < least)
+
+
+def repeated_windows(known: np.ndarray, sizes: np.ndarray, lefts: list[bytes]) -> np.ndarray:
+    """Row i, column o: whether the window of suffix i from ``o`` bytes before its anchor on is one of another suffix too.
+
+    ``known`` holds, for suffixes in the order of the merge, the bytes to the
+    right of the anchor that each shares with the one before, ``sizes`` their
+    numbers; no right part is looked at again. Two suffixes share a window if
+    the least of these between them reaches its end and their left parts agree
+    for ``o`` bytes. So the left parts are put in order too, and for each
+    offset the suffixes that are in one run on both sides are counted.
+    """
+    back = [x[::-1] for x in lefts]
+    order = sorted(range(len(back)), key=back.__getitem__)
+    known_left = np.array([0] + [common(back[a], back[b]) for a, b in zip(order, order[1:], strict=False)])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    left_sizes = np.array([len(x) for x in lefts])
+    out = np.zeros((len(order), LENGTH - GRAM + 1), bool)
+    for offset in range(out.shape[1]):
+        right_run = runs_of(known, LENGTH - offset)
+        some = np.flatnonzero((left_sizes >= offset) & (sizes >= LENGTH - offset))
+        some = some[np.bincount(right_run[some])[right_run[some]] > 1] if some.size else some
+        both = right_run[some] * np.int64(len(order) + 1) + runs_of(known_left, offset)[rank[some]]
+        by = np.argsort(both)
+        twin = np.flatnonzero(both[by][1:] == both[by][:-1])
+        out[some[by[twin]], offset] = out[some[by[twin + 1]], offset] = True
+    return out
 
 
 def decide(runs: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
     """(run, index, packed bits of its repeated windows; empty for all) of the suffixes that have any."""
-    group: list[tuple[int, int, bytes, bytes, int]] = []
+    held: list[tuple[int, int, int, int, bytes, int]] = []
 
     def close() -> Iterator[tuple[int, int, bytes]]:
-        different: dict[tuple[bytes, bytes], list[int]] = {}
-        for i, (_, _, right, left, _) in enumerate(group):
-            different.setdefault((right, left), []).append(i)
-        marks = repeated_windows([(r[8:], x, sum(group[i][4] for i in who)) for (r, x), who in different.items()])
-        for who, mark in zip(different.values(), marks, strict=True):
-            if mark is None or mark.any():
-                for i in who:
-                    yield group[i][0], group[i][1], b"" if mark is None else np.packbits(mark).tobytes()
+        found = repeated_windows(np.array([h[0] for h in held]), np.array([h[1] for h in held]), [h[4] for h in held])
+        for (_, size, run, index, left, n), row in zip(held, found, strict=True):
+            marks = row[LENGTH - size : len(left) + 1][::-1]
+            if n > 1 or marks.all():
+                yield run, index, b""
+            elif marks.any():
+                yield run, index, np.packbits(marks).tobytes()
 
     for shared, run, right, left, index, n in merged([decoded(r) for r in runs]):
-        if group and shared < 8 + GRAM:
+        if len(held) >= BATCH and shared < 8 + GRAM:  # a batch ends with a gram
             yield from close()
-            group = []
-        group.append((run, index, right, left, n))
-    if group:
+            held = []
+        held.append((shared - 8, len(right) - 8, run, index, left, n))
+    if held:
         yield from close()
 
 
@@ -401,7 +404,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", fre
         rows = _texts(table)
         texts = [x or b"" for x in rows.column("text").to_pylist()]
         rare, common_grams = _grams(table)
-        hit: dict[int, list[tuple[int, np.ndarray]]] = {}  # text -> (first window, which of those that follow are repeated)
+        text_at, start_at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]  # text and first byte of each repeated window
         if len(rare) or len(common_grams):
             spans = Spans(texts)
             found = Suffixes(spans, rare) if table.column("suffix").drop_null() else None
@@ -409,18 +412,22 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", fre
                 if suffix is not None:
                     for i in found.places[suffix]:
                         n = int(spans.last[i] - spans.first[i]) + 1
-                        marks = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool) if bits else np.ones(n, bool)
-                        hit.setdefault(int(spans.text[i]), []).append((int(spans.first[i]), marks))
+                        some = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=n)) if bits else np.arange(n)
+                        start_at.append(some + spans.first[i])
+                        text_at.append(np.full(len(some), spans.text[i]))
             where = table.column("h1").is_valid()
             both = np.stack((_unsigned(table, "h1", where), _unsigned(table, "h2", where)), axis=1)
             if len(both):
                 text_of, first, h1, h2 = window_hashes(spans, common_grams)
                 yes = np.isin(np.stack((h1, h2), axis=1).view("u8,u8").ravel(), np.ascontiguousarray(both).view("u8,u8").ravel())
-                for t, p in zip(text_of[yes].tolist(), first[yes].tolist(), strict=True):
-                    hit.setdefault(t, []).append((p, np.ones(1, bool)))
+                text_at.append(text_of[yes])
+                start_at.append(first[yes])
+        text_of, starts = np.concatenate(text_at), np.concatenate(start_at)
+        starts = starts[np.argsort(text_of, kind="stable")]
+        bounds = np.concatenate(([0], np.cumsum(np.bincount(text_of, minlength=len(texts)))))
         out = []
         for t, raw in enumerate(texts):
-            ranges, kept = removed(raw, hit.get(t, []))
+            ranges, kept = removed(raw, starts[bounds[t] : bounds[t + 1]])
             out.append((len(raw), [{"start": a, "end": b} for a, b in ranges], hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         columns = {c: pa.array([r[j] for r in out], t) for j, (c, t) in enumerate((("n_bytes", pa.int64()), ("spans", span), ("kept_sha256", pa.string()), ("kept", pa.binary())))}
@@ -432,15 +439,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", fre
     return done if keep_text else done.drop("kept")
 
 
-def removed(raw: bytes, hits: list[tuple[int, np.ndarray]]) -> tuple[list[tuple[int, int]], bytes]:
-    """The maximal ranges covered by the repeated windows, and the bytes outside them."""
-    if not hits:
+def removed(raw: bytes, starts: np.ndarray) -> tuple[list[tuple[int, int]], bytes]:
+    """The maximal ranges covered by the windows from ``starts`` on (all different), and the bytes outside them."""
+    if not starts.size:
         return [], raw
     edge = np.zeros(len(raw) + 1, np.int64)
-    for first, marks in hits:
-        starts = np.flatnonzero(marks) + first
-        edge[starts] += 1
-        edge[starts + LENGTH] -= 1
+    edge[starts] += 1
+    edge[starts + LENGTH] -= 1
     covered = np.concatenate(([False], np.cumsum(edge[:-1]) > 0, [False]))
     bounds = np.flatnonzero(covered[1:] != covered[:-1]).reshape(-1, 2).tolist()
     return [(a, b) for a, b in bounds], np.frombuffer(raw, np.uint8)[~covered[1:-1]].tobytes()

@@ -93,3 +93,26 @@ def test_front_coded_runs_round_trip():
     assert back == found.suffixes
     sizes = [len(list(suffixes.decoded(run))) for _, run in found.runs(7)]
     assert len(sizes) == 7 and max(sizes) < 3 * sum(sizes) / 7
+
+
+def test_repeated_windows_match_comparing_all_pairs():
+    rng = random.Random(5)
+    length, gram = suffixes.LENGTH, suffixes.GRAM
+    tails = [bytes(rng.choice(b"ab") for _ in range(length)) for _ in range(3)]
+    heads = [bytes(rng.choice(b"ab") for _ in range(length - gram)) for _ in range(3)]
+    found = set()
+    while len(found) < 120:
+        right, left = rng.choice(tails)[: rng.randint(gram, length)], rng.choice(heads)[rng.randint(0, length - gram) :]
+        if rng.random() < 0.3:
+            at = rng.randrange(gram, length)
+            right = right[:at] + b"c" + right[at + 1 :]
+        if len(left) + len(right) >= length:
+            found.add((right[:length], left))
+    order = sorted(found)
+    known = np.array([0] + [suffixes.common(a, b) for (a, _), (b, _) in zip(order, order[1:], strict=False)])
+    got = suffixes.repeated_windows(known, np.array([len(r) for r, _ in order]), [x for _, x in order])
+    windows = [{o: (left[len(left) - o :] + right)[:length] for o in range(length - len(right), len(left) + 1)} for right, left in order]
+    for i, own in enumerate(windows):
+        want = [o for o, w in own.items() if any(other.get(o) == w for j, other in enumerate(windows) if j != i)]
+        assert np.flatnonzero(got[i]).tolist() == want
+    assert got.any() and not got.all(axis=1).any()
