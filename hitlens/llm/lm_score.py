@@ -65,11 +65,25 @@ def chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 
 def gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [np.unique(grams(texts[a:b]), return_counts=True) for a, b in chunks(texts)]
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    codes, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return codes, np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(codes)).astype(np.int64)
+    """The distinct grams of the texts, in order, and their numbers.
+
+    Chunks are added to a stack of sorted runs, in which each is at least
+    twice as long as the next: little more than the result is held.
+    """
+    stack: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def merge_top() -> None:
+        (a, n), (b, m) = stack.pop(), stack.pop()
+        codes, inverse = np.unique(np.concatenate((a, b)), return_inverse=True)
+        stack.append((codes, np.bincount(inverse, np.concatenate((n, m)), len(codes)).astype(np.int64)))
+
+    for a, b in chunks(texts):
+        stack.append(np.unique(grams(texts[a:b]), return_counts=True))
+        while len(stack) > 1 and len(stack[-2][0]) < 2 * len(stack[-1][0]):
+            merge_top()
+    while len(stack) > 1:
+        merge_top()
+    return stack[0] if stack else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -250,14 +264,18 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         .unionByName(model.select("packet", nothing("binary").alias("blob"), nothing("binary").alias("word"), "code", F.col("log10").alias("value")))
     )
 
-    def score(table: pa.Table) -> pa.Table:
-        blob, word, code, value = (table.column(c) for c in ("blob", "word", "code", "value"))
-        rows = unpacked(blob.drop_null()[0].as_py())
-        of_words, of_codes = word.is_valid(), code.is_valid()
-        logs = dict(zip(word.filter(of_words).to_pylist(), np.log10(value.filter(of_words).to_numpy() + 1).tolist(), strict=True))
-        slots = Slots(code.filter(of_codes).to_numpy(), value.filter(of_codes).to_numpy())
-        del table, blob, word, code, value
-        return pa.Table.from_batches([score_packet(rows, logs, slots)])
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One packet. Its answers come in batches; only what they say is held."""
+        blob, logs, codes, values = b"", {}, [], []
+        for batch in batches:
+            word, code, value = (batch.column(c) for c in ("word", "code", "value"))
+            of_words, of_codes = word.is_valid(), code.is_valid()
+            logs.update(zip(word.filter(of_words).to_pylist(), np.log10(value.filter(of_words).to_numpy() + 1).tolist(), strict=True))
+            codes.append(code.filter(of_codes).to_numpy())
+            values.append(value.filter(of_codes).to_numpy())
+            for x in batch.column("blob").drop_null():
+                blob = x.as_py()
+        yield score_packet(unpacked(blob), logs, Slots(np.concatenate(codes), np.concatenate(values)))
 
     kind = docs.schema[key].dataType.simpleString()
     scored = answers.groupBy("packet").applyInArrow(
