@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from hitlens.llm.common import LOWER, UPPER, bounded_batches, utf8
+from hitlens.llm.common import LOWER, UPPER, bounded_batches, own, stored, utf8
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -53,6 +53,8 @@ class Policy:
 
 BASE = Policy("base", 1, ("too_short", "repeated_windows"))
 DEFAULT = Policy("default", 1, tuple(RULES))
+#: Version 2 doesn't judge by capitals and exclamation marks.
+WITHOUT_TONE = Policy("default", 2, tuple(r for r in RULES if r not in ("shouting", "bangs")))
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -150,6 +152,37 @@ def ablation(bits: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     )
 
 
+def stored_ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The ledger without the texts, written once: key, measurements and bits.
+
+    Any number of policies and ablations are answered from it; it stays in the
+    shared folder. Rows and values are those of ``ledger``.
+    """
+    rows = docs.select(own(key).alias("key"), own(text).alias("text"))
+    return stored(ledger(rows).select("key", "quality.*"), "quality-ledger")
+
+
+def compare_policies(bits: DataFrame, policies: tuple[Policy, ...] = (DEFAULT, WITHOUT_TONE)) -> DataFrame:
+    """Per policy version and rule: documents kept by the policy, failed by the rule, and regained without it.
+
+    ``bits`` has the long column ``bits``. One pass for all policies: documents
+    are counted per mask before the shuffle (at most ``2 ** len(RULES)``
+    masks). Repeated rows count; an empty ledger gives no rows.
+    """
+    masks = bits.groupBy("bits").agg(F.count("*").alias("n"))
+    rules = F.array(*[
+        F.struct(F.lit(p.name).alias("policy"), F.lit(p.version).alias("policy_version"), F.lit(r).alias("rule"),
+                 F.lit(BIT[r]).cast("long").alias("bit"), F.lit(p.mask).cast("long").alias("mask"))
+        for p in policies for r in p.rules])
+    of = lambda condition: F.sum(F.when(F.expr(condition), F.col("n")).otherwise(F.lit(0)))
+    return masks.select("bits", "n", F.inline(rules)).groupBy("policy", "policy_version", "rule").agg(
+        of("(bits & mask) = 0").alias("n_kept"), of("(bits & bit) != 0").alias("n_failed"), of("(bits & mask) = bit").alias("n_regained"))
+
+
+def policy_digest(docs: DataFrame) -> DataFrame:
+    return compare_policies(stored_ledger(docs).select("bits"))
+
+
 def quality_digest(docs: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     """Measurements, failure bits and verdicts per document."""
     q = ledger(docs.select("doc_id", "text"))
@@ -164,7 +197,7 @@ def quality_digest(docs: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
 
 
 _WORDS = r"[x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> '']"
-QUALITY_SQL = rf"""
+_LEDGER_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents
 ),
@@ -190,7 +223,13 @@ m0 AS (
 ),
 m AS (SELECT *, len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines FROM m0),
 b AS (SELECT *, {" + ".join(f"CASE WHEN {rule} THEN {BIT[name]} ELSE 0 END" for name, rule in RULES.items())} AS bits FROM m)
-SELECT doc_id, {", ".join(MEASURES)}, bits::BIGINT AS failure_bits, {DEFAULT.version} AS policy_version,
+"""
+QUALITY_SQL = _LEDGER_SQL + f"""SELECT doc_id, {", ".join(MEASURES)}, bits::BIGINT AS failure_bits, {DEFAULT.version} AS policy_version,
   (bits & {BASE.mask}) <> 0 AS base_failed, (bits & {BASE.mask}) = 0 AND (bits & {DEFAULT.mask}) = 0 AS kept
 FROM b
 """
+POLICY_SQL = _LEDGER_SQL + f"""SELECT policy, policy_version, rule, (count(*) FILTER (WHERE (bits & mask) = 0))::BIGINT AS n_kept,
+  (count(*) FILTER (WHERE (bits & bit) <> 0))::BIGINT AS n_failed, (count(*) FILTER (WHERE (bits & mask) = bit))::BIGINT AS n_regained
+FROM b, (VALUES {", ".join(f"('{p.name}', {p.version}, '{r}', {BIT[r]}, {p.mask})" for p in (DEFAULT, WITHOUT_TONE) for r in p.rules)}) AS r(policy, policy_version, rule, bit, mask)
+GROUP BY policy, policy_version, rule
+"""

@@ -12,7 +12,7 @@ from hitlens.llm.line_dedup import LINE_SQL, line_digest
 from hitlens.llm.lm_score import lm_digest
 from hitlens.llm.merkle import MERKLE_SQL, manifest_digest
 from hitlens.llm.packing import packing_digest
-from hitlens.llm.quality import QUALITY_SQL, quality_digest
+from hitlens.llm.quality import POLICY_SQL, QUALITY_SQL, policy_digest, quality_digest
 from hitlens.llm.secrets import secrets_digest
 from hitlens.llm.sharding import shard_digest
 from hitlens.llm.simhash import simhash_digest
@@ -43,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_merkle_manifest": _over_documents(manifest_digest),
     "op12_conversation_repair": lambda spark, sf_dir: repair_digest(table(spark, sf_dir, "conversations")),
     "op13_token_counts": _over_documents(count_digest),
+    "quality_policies": _over_documents(policy_digest),
 }
 ORACLES: dict[str, str] = {"op2_quality_ledger": QUALITY_SQL, "op4_winnowing_decontamination": CONTAMINATION_SQL, "op8_line_dedup": LINE_SQL,
-                           "op11_merkle_manifest": MERKLE_SQL, "op12_conversation_repair": REPAIR_SQL}
+                           "op11_merkle_manifest": MERKLE_SQL, "op12_conversation_repair": REPAIR_SQL, "quality_policies": POLICY_SQL}

@@ -61,6 +61,22 @@ def test_ablation_counts_sole_failures(spark):
     assert got == {"too_short": (3, 2), "repeated_windows": (2, 1)}
 
 
+def test_policies_are_compared_from_the_stored_bits_alone(spark):
+    docs = with_clashes(small_documents(spark)).unionByName(awkward_documents(spark))
+    kept = quality.stored_ledger(docs)
+    assert kept.columns == ["key", *quality.MEASURES, "bits"]
+    bits = [r.bits for r in kept.select("bits").collect()]
+    assert len(bits) == docs.count()
+    policies = (quality.DEFAULT, quality.WITHOUT_TONE, quality.BASE)
+    got = {(r.policy, r.policy_version, r.rule): (r.n_kept, r.n_failed, r.n_regained) for r in quality.compare_policies(kept.select("bits"), policies).collect()}
+    assert got == {
+        (p.name, p.version, r): (sum(not b & p.mask for b in bits), sum(bool(b & quality.BIT[r]) for b in bits), sum(b & p.mask == quality.BIT[r] for b in bits))
+        for p in policies for r in p.rules}
+    plan = quality.compare_policies(kept.select("bits"))._jdf.queryExecution().executedPlan().toString()
+    assert "bits:bigint" in plan and "text" not in plan and "Python" not in plan and "ArrowEval" not in plan
+    assert quality.compare_policies(kept.limit(0).select("bits")).count() == 0
+
+
 def brute_secrets(text):
     out = []
     for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
