@@ -27,19 +27,23 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def _item(array: str, at: str) -> str:
-    return f"get({array}, {at})"
+def with_window_marks(rows: DataFrame, spans: list[int]) -> DataFrame:
+    """``rows`` with the array column ``words``, plus ``marks``: (span, at, mark) of every window of
+    one of these numbers of words, ``at`` its first word (from 0) and ``mark`` the least hash of its
+    grams. Words are hashed once for all spans, grams once for each length."""
+    hashed = rows.withColumn("hashes", F.expr("transform(words, w -> xxhash64(w))"))
+    lengths = sorted({gram_of(span) for span in spans})
+    each = lambda last, body: f"IF(size(words) >= {last}, transform(sequence(0, size(words) - {last}), i -> {body}), array())"
+    item = lambda array, j: f"get({array}, i + {j})"
+    hashed = hashed.withColumns({
+        f"grams_{n}": F.expr(each(n, f"xxhash64({', '.join(item('hashes', j) for j in range(n))})")) if n > 1 else F.col("hashes") for n in lengths})
 
+    def marks(span: int) -> str:
+        grams = f"grams_{gram_of(span)}"
+        least = f"least({', '.join(item(grams, j) for j in range(span - gram_of(span) + 1))}, {item(grams, 0)})"
+        return each(span, f"named_struct('span', {span}, 'at', i, 'mark', {least})")
 
-def with_window_marks(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """``rows`` with the array column ``words``, plus ``marks``: per window of
-    ``window`` words (by its first word) the least hash of its ``gram``-grams."""
-    grams = f"xxhash64({', '.join(_item('hashes', f'i + {j}') for j in range(gram))})"
-    least = f"least({', '.join(_item('grams', f'i + {j}') for j in range(window - gram + 1))}, {_item('grams', 'i')})"
-    each = lambda last, body: F.expr(f"IF(size(words) >= {window}, transform(sequence(0, size(words) - {last}), i -> {body}), array())")
-    hashed = rows.withColumn("hashes", F.expr("transform(words, w -> xxhash64(w))"))
-    hashed = hashed.withColumn("grams", each(gram, grams) if gram > 1 else F.col("hashes"))
-    return hashed.withColumn("marks", each(window, least)).drop("hashes", "grams")
+    return hashed.withColumn("marks", F.expr(f"concat({', '.join(marks(span) for span in spans)})")).drop("hashes", *[f"grams_{n}" for n in lengths])
 
 
 def gram_of(window: int) -> int:
@@ -55,30 +59,34 @@ def benchmark_windows(benchmark: DataFrame, item: str, text: str, window: int) -
     return starts.select("item", "span", F.expr("slice(words, at, span)").alias("words")).distinct()
 
 
-def hit_windows(texts: DataFrame, windows: DataFrame, spans: list[int]) -> DataFrame:
-    """(doc, text_hash, at, span, items): the windows of ``texts`` (doc, text_hash, text) that items hold.
+def known_windows(windows: DataFrame, spans: list[int]) -> DataFrame:
+    """(window, words, span, mark, items): the different windows of the benchmark, numbered, each with its items."""
+    marked = with_window_marks(windows.groupBy("words", "span").agg(F.sort_array(F.collect_set("item")).alias("items")), spans)
+    # A window has as many words as its span, so one of its marks is its own.
+    own_mark = F.filter("marks", lambda m: m["span"] == F.col("span"))[0]["mark"]
+    return stored(marked.select(F.monotonically_increasing_id().alias("window"), "words", "span", own_mark.alias("mark"), "items"), "benchmark-windows")
+
+
+def hit_windows(texts: DataFrame, known: DataFrame, spans: list[int]) -> DataFrame:
+    """(doc, text_hash, at, span, window): the windows of ``texts`` (doc, text_hash, text) that ``known`` holds.
 
-    Per span: distinct marks meet the marks of the benchmark's windows, which
-    finds the documents that may hold one; in those, windows with such a mark
-    are compared word by word.
+    One pass over the texts for all spans: their distinct marks meet those of
+    the benchmark, which finds the documents that may hold a window. In those,
+    each window whose mark is known is compared word by word.
     """
-    out = None
+    marks = known.select("span", "mark").distinct()
+    of_text = lambda rows: with_window_marks(rows.withColumn("words", words_of(F.col("text"))).drop("text"), spans)
     # The outer forms of explode: the others push a filter that recomputes the array below it.
-    for span in spans:
-        gram = gram_of(span)
-        known = stored(windows.where(F.col("span") == span).groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("items")), "benchmark-windows")
-        marks = with_window_marks(known, span, gram).select(F.col("marks")[0].alias("mark")).distinct()
-        rows = texts.withColumn("words", words_of(F.col("text"))).drop("text")
-        sparse = with_window_marks(rows, span, gram).select("doc", "text_hash", F.explode_outer(F.array_distinct("marks")).alias("mark"))
-        suspects = stored(sparse.join(marks, "mark", "left_semi").groupBy("doc", "text_hash").agg(F.collect_set("mark").alias("suspect_marks")), "suspects")
-        same = texts["doc"].eqNullSafe(suspects["doc"]) & (texts["text_hash"] == suspects["text_hash"])
-        again = texts.join(suspects, same).select(texts["doc"], texts["text_hash"], texts["text"], "suspect_marks")
-        again = with_window_marks(again.withColumn("words", words_of(F.col("text"))).drop("text"), span, gram)
-        spot = again.select("doc", "text_hash", "suspect_marks", "words", F.posexplode_outer("marks").alias("at", "mark")).where(F.array_contains("suspect_marks", F.col("mark")))
-        extended = spot.select("doc", "text_hash", "at", F.slice("words", F.col("at") + 1, F.lit(span)).alias("words"))
-        hits = extended.join(known, "words").select("doc", "text_hash", "at", F.lit(span).alias("span"), "items")
-        out = hits if out is None else out.unionByName(hits)
-    return out
+    different = F.array_distinct(F.transform("marks", lambda m: F.struct(m["span"].alias("span"), m["mark"].alias("mark"))))
+    sparse = of_text(texts).select("doc", "text_hash", F.explode_outer(different).alias("m")).select("doc", "text_hash", "m.span", "m.mark")
+    suspects = stored(sparse.join(marks, ["span", "mark"], "left_semi").select("doc", "text_hash").distinct(), "suspects")
+    same = texts["doc"].eqNullSafe(suspects["doc"]) & (texts["text_hash"] == suspects["text_hash"])
+    again = of_text(texts.join(suspects, same, "left_semi"))
+    spots = again.select("doc", "text_hash", "words", F.explode_outer("marks").alias("m")).select("doc", "text_hash", "words", "m.*")
+    # A row takes its own words only into the joins, never those of its text.
+    windows = spots.select("doc", "text_hash", "at", "span", "mark", F.expr("slice(words, at + 1, span)").alias("words"))
+    extended = windows.join(marks, ["span", "mark"], "left_semi")
+    return extended.join(known.select("window", "words"), "words").select("doc", "text_hash", "at", "span", "window")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -95,13 +103,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     # At most ``window`` lengths.
     spans = sorted(r.span for r in windows.select("span").distinct().collect()) or [window]
     texts = docs.select(own(key).alias("doc"), F.xxhash64(own(text)).alias("text_hash"), own(text).cast("string").alias("text"))
-    hits = hit_windows(texts, windows, spans)
+    known = known_windows(windows, spans)
+    hits = stored(hit_windows(texts, known, spans), "benchmark-hits")
     # At most a row per document: positions and ids are sets within one text.
+    places = hits.groupBy("doc", "text_hash").agg(F.array_sort(F.collect_set(F.struct("at", "span"))).alias("at"))
+    held = hits.select("doc", "text_hash", "window").distinct().join(known.select("window", "items"), "window")
+    items = held.groupBy("doc", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    both = places["doc"].eqNullSafe(items["doc"]) & (places["text_hash"] == items["text_hash"])
     found = stored(
-        hits.groupBy("doc", "text_hash").agg(
-            F.array_sort(F.collect_set(F.struct("at", "span"))).alias("at"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-        .select(
-            F.col("doc").alias("_doc"), F.col("text_hash").alias("_text_hash"),
+        places.join(items, both).select(
+            places["doc"].alias("_doc"), places["text_hash"].alias("_text_hash"),
             F.expr("size(array_distinct(flatten(transform(at, x -> sequence(x.at, x.at + x.span - 1)))))").cast("long").alias("_n_hit"),
             F.size("items").cast("long").alias("_n_items"), F.sha2(F.array_join("items", ","), 256).alias("_sha")),
         "contaminated-documents")
