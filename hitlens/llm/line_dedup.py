@@ -1,21 +1,27 @@
 """Corpus-wide line dedup over levelled sorted runs of line hashes.
 
-Runs are sorted by line hash and hold each line once, with its documents and
-its largest document. Each batch of documents is merge-anti-joined with the
-runs; the lines that none of them holds become a run of its own, and what the
-batch adds to known lines is kept beside the runs. Full levels are compacted
-into a run of the next level, and the additions with each other. Lines that the
-whole index finds frequent are then dropped. DataFrame functions only.
+Runs are bucketed and sorted by line hash and hold each line once, with its
+documents and its largest document. Each batch of documents, bucketed alike, is
+merge-anti-joined with the runs; the lines that none of them holds become a run
+of its own, and what the batch adds to known lines is kept beside the runs. Full
+levels are merged, two runs at a time, into a run of the next level, and the
+additions with each other. As all have the same buckets, only a batch's own lines
+are ever exchanged, and none of these joins sorts. Lines that the whole index
+finds frequent are then dropped. DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitlens.llm.common import BLANKS, ascii_lower, boxed, own, stored
+from hitlens.session import drop_stored, stored_table_path
 
 LEAST_CHARS = 40
 LEAST_DOCS = 5
@@ -49,52 +55,120 @@ def document_lines(docs: DataFrame, key: str, text: str, least_chars: int = LEAS
     return found.where(F.col("line").isNotNull()).select("doc", "text_hash", *_hashes(F.col("line")))
 
 
+@contextmanager
+def _known_order(spark: SparkSession) -> Iterator[None]:
+    """Let bucketed scans of one file a bucket keep the order that it was written in; the setting is put back."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class LineRuns:
-    """Levelled sorted runs of (h1, h2, n_docs, max_doc) with disjoint hashes, written to the shared folder."""
+    """Levelled sorted runs of (h1, h2, n_docs, max_doc) with disjoint hashes.
+
+    Runs, batches and additions are tables in the shared folder, all in the same
+    ``buckets`` of the hash (as many as the session's shuffle partitions) and sorted
+    within. Null documents are smaller than any other.
+    """
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int | None = None):
         self.spark, self.fanout = spark, fanout
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
         self.additions: list[DataFrame] = []  # what later batches add to lines of the runs
+        self._tables: dict[int, tuple[str, str]] = {}
 
     @property
     def runs(self) -> list[DataFrame]:
         return [r for level in self.levels for r in level]
 
-    def _write(self, run: DataFrame, level: int) -> DataFrame:
+    def _write(self, rows: DataFrame, name: str) -> DataFrame:
+        table, path = f"hitlens_lines_{uuid.uuid4().hex}", stored_table_path(self.spark, name)
+        rows.write.bucketBy(self.buckets, *HASH).sortBy(*HASH).option("path", path).format("parquet").saveAsTable(table)
+        written = self.spark.table(table)
+        self._tables[id(written)] = (table, path)
+        return written
+
+    def _delete(self, rows: DataFrame) -> None:
+        table, path = self._tables.pop(id(rows))
+        self.spark.sql(f"DROP TABLE {table}")
+        drop_stored(self.spark, path)
+
+    def drop(self) -> None:
+        """Delete all tables of the index."""
+        for rows in self.runs + self.additions:
+            self._delete(rows)
+        self.levels, self.additions = [], []
+
+    def _merged(self, tables: list[DataFrame], name: str) -> DataFrame:
+        """One table for several, by merge joins of two; the tables are deleted."""
+        while len(tables) > 1:
+            pairs = [self._write(self.merge(a, b), name) for a, b in zip(tables[::2], tables[1::2], strict=False)]
+            odd = tables[len(pairs) * 2 :]
+            for t in tables[: len(pairs) * 2]:
+                self._delete(t)
+            tables = pairs + odd
+        return tables[0]
+
+    @staticmethod
+    def merge(a: DataFrame, b: DataFrame) -> DataFrame:
+        """Both tables' hashes, with the documents of both."""
+        some = lambda side: F.coalesce(side["n_docs"], F.lit(0))
+        return a.join(b.hint("merge"), list(HASH), "full_outer").select(
+            *HASH, (some(a) + some(b)).alias("n_docs"), F.greatest(a["max_doc"], b["max_doc"]).alias("max_doc"))
+
+    def _push(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        written = stored(run.repartition("h1").sortWithinPartitions(*HASH), f"line-run-{level}")
-        self.levels[level].append(written)
+        self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            self._write(reduce(DataFrame.unionByName, full), level + 1)
-        return written
+            self._push(self._merged(full, f"line-run-{level + 1}"), level + 1)
 
     def add(self, lines: DataFrame) -> None:
         """Add a batch (rows of ``document_lines``)."""
-        batch = lines.groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("doc").alias("max_doc"))
-        if not self.runs:
-            self._write(batch, 0)
-            return
-        batch = stored(batch, "line-batch")
-        fresh = self._write(self.unseen(batch), 0)
-        self.additions.append(stored(batch.join(fresh, list(HASH), "left_anti"), "line-additions"))
-        if len(self.additions) >= self.fanout:
-            self.additions = [stored(self._summed(self.additions), "line-additions")]
-
-    @staticmethod
-    def _summed(rows: list[DataFrame]) -> DataFrame:
-        whole = reduce(DataFrame.unionByName, rows)
-        return whole.groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
+        # This exchange is the only one of a batch; the write makes one file of each bucket.
+        counted = lines.groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("doc").alias("max_doc"))
+        with _known_order(self.spark):
+            batch = self._write(counted, "line-batch")
+            if not self.runs:
+                self._push(batch, 0)
+                return
+            fresh = self._write(self.unseen(batch), "line-run-0")
+            self.additions.append(self._write(batch.join(fresh.hint("merge"), list(HASH), "left_anti"), "line-additions"))
+            self._delete(batch)
+            self._push(fresh, 0)
+            if len(self.additions) >= self.fanout:
+                self.additions = [self._merged(self.additions, "line-additions")]
 
     def unseen(self, lines: DataFrame) -> DataFrame:
         """The rows of ``lines`` whose hash is in no run: a merge-anti-join with each run."""
-        return reduce(lambda rows, run: rows.join(run, list(HASH), "left_anti"), self.runs, lines)
+        return reduce(lambda rows, run: rows.join(run.hint("merge"), list(HASH), "left_anti"), self.runs, lines)
 
     def frequent(self, least_docs: int = LEAST_DOCS) -> DataFrame:
-        """(h1, h2, max_doc) of the lines found in at least ``least_docs`` documents of all batches."""
-        return self._summed(self.runs + self.additions).where(F.col("n_docs") >= least_docs).select(*HASH, "max_doc")
+        """(h1, h2, max_doc) of the lines found in at least ``least_docs`` documents of all batches, written.
+
+        Each run is merge-joined with the additions, merged into one table first.
+        """
+        if not self.runs:
+            raise ValueError("no batch has been added")
+        with _known_order(self.spark):
+            if self.additions:
+                self.additions = [self._merged(self.additions, "line-additions")]
+            whole = [self.grown(run) for run in self.runs]
+            return stored(reduce(DataFrame.unionByName, [w.where(F.col("n_docs") >= least_docs).select(*HASH, "max_doc") for w in whole]), "frequent-lines")
+
+    def grown(self, run: DataFrame) -> DataFrame:
+        """A run with what later batches added to its lines."""
+        if not self.additions:
+            return run
+        more = self.additions[0]
+        return run.join(more.hint("merge"), list(HASH), "left").select(
+            *HASH, (run["n_docs"] + F.coalesce(more["n_docs"], F.lit(0))).alias("n_docs"), F.greatest(run["max_doc"], more["max_doc"]).alias("max_doc"))
 
 
 def drop_repeated_lines(docs: DataFrame | list[DataFrame], key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS,
@@ -106,7 +180,8 @@ def drop_repeated_lines(docs: DataFrame | list[DataFrame], key: str = "doc_id",
     characters and occurs in ``least_docs`` documents stays only in the
     document of the largest key; other lines stay as they are. Each row counts
     as a document: repeated rows count each and, being largest, all keep their
-    lines. A null key is smaller than any other. A null or empty text has one
+    lines. With ``runs``, the batches join those that this index holds already, and
+    its tables stay; else they are deleted. A null key is smaller than any other. A null or empty text has one
     empty line, and a row that loses nothing keeps its text, null included.
     Columns n_lines and n_dropped are replaced. Empty tables give empty results.
     """
@@ -118,7 +193,9 @@ def drop_repeated_lines(docs: DataFrame | list[DataFrame], key: str = "doc_id",
     lines = stored(reduce(DataFrame.unionByName, found), "document-lines", ("batch",))
     for i in range(len(given) if isinstance(docs, list) else batches):
         index.add(lines.where(F.col("batch") == i).drop("batch"))
-    frequent = stored(index.frequent(least_docs), "frequent-lines")
+    frequent = index.frequent(least_docs)
+    if runs is None:
+        index.drop()
     doomed = (
         lines.join(frequent, list(HASH)).where(~F.col("doc").eqNullSafe(F.col("max_doc")))
         .groupBy(F.col("doc").alias("doomed_doc"), F.col("text_hash").alias("doomed_text"))

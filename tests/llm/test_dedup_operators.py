@@ -149,6 +149,30 @@ def test_no_extra_column_is_lost_or_changed(spark):
     assert judged.count() == docs.count() and {r.contaminated for r in judged.select("contaminated").collect()} == {False}
 
 
+def test_runs_are_joined_and_merged_without_exchange_or_sort(spark):
+    def plan(df):
+        with line_dedup._known_order(spark):
+            return df._jdf.queryExecution().executedPlan().toString()
+
+    line = "a line that is long enough to be looked at, number {}"
+    batch = lambda ids: line_dedup.document_lines(spark.createDataFrame([(i, line.format(i)) for i in ids], "doc_id long, text string"), "doc_id", "text")
+    runs = line_dedup.LineRuns(spark)
+    for i in range(3):
+        runs.add(batch(range(50 * i, 50 * i + 100)))
+    assert [r.count() for r in runs.runs] == [100, 50, 50] and len(runs.additions) == 2
+    for files in (r.inputFiles() for r in runs.runs + runs.additions):
+        buckets = [re.search(r"_(\d{5})\.c", f)[1] for f in files]
+        assert len(set(buckets)) == len(buckets) <= runs.buckets  # one file a bucket
+    merged = line_dedup.LineRuns.merge(runs.runs[0], runs.additions[0])
+    for df in (runs.unseen(runs.additions[1]), merged, runs.grown(runs.runs[0])):
+        assert "SortMergeJoin" in plan(df) and "Exchange" not in plan(df) and "Sort [" not in plan(df)
+    assert (merged.count(), merged.agg({"n_docs": "sum"}).first()[0]) == (100, 150)
+    before, tables = spark.conf.get("spark.sql.legacy.bucketedTableScan.outputOrdering"), len(spark.catalog.listTables())
+    assert runs.frequent(2).count() == 100 and runs.frequent(3).count() == 0
+    runs.drop()
+    assert before == "false" and len(spark.catalog.listTables()) < tables and not runs._tables
+
+
 def test_file_batches_hold_the_whole_table(spark, scratch):
     docs = awkward_documents(spark)
     docs.repartition(5).write.parquet(f"{scratch}/docs")
