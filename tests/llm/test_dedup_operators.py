@@ -221,28 +221,3 @@ def test_contamination_keeps_foreign_columns(spark):
     out = decontaminate.contamination(docs, spark.createDataFrame(BENCH, "item_id long, text string"))
     assert set(docs.columns) < set(out.columns) and out.count() == docs.count()
     assert as_rows(out, *docs.columns) == as_rows(docs)
-
-
-def test_texts_are_read_three_times_whatever_the_lengths_of_items(spark, scratch, monkeypatch):
-    """Once for the marks, once for the windows of suspects, once for the result; items of 1, 2, 6, 13 and more words."""
-    spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string").write.parquet(f"{scratch}/read-often")
-    plans = []
-
-    def seen(df):
-        plans.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().toString())
-        return df
-
-    write = decontaminate.stored
-    monkeypatch.setattr(decontaminate, "stored", lambda df, name: write(seen(df), name))
-    docs = spark.read.schema("doc_id long, text string").parquet(f"{scratch}/read-often")
-    out = seen(decontaminate.contamination(docs, spark.createDataFrame(BENCH, "item_id long, text string")))
-    assert out.where("n_hit > 0").count() > 5
-    assert sum(p.count("doc_id#") for p in plans) == 3
-
-
-def test_window_common_to_many_items(spark):
-    """A window's items are joined once per document, not carried by each place where it occurs."""
-    bench = spark.createDataFrame([(i, "one shared passage " * 5 + f"tail{i}") for i in range(300)], "item_id long, text string")
-    docs = spark.createDataFrame([(0, "one shared passage " * 400), (1, "one shared passage")], "doc_id long, text string")
-    got = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
-    assert (got[0].n_hit, got[0].n_items, got[0].contaminated) == (1200, 300, True) and got[1].n_hit == 0
