@@ -110,7 +110,7 @@ def q_enrich_origin_totals(t: Tables) -> DataFrame:
 
 
 def q_report_headerless_parts(t: Tables) -> DataFrame:
-    return top_position_counts(read_ranking(t.spark, files.chart_csv(t.chart().repartition(5), header=False)), year=YEAR)
+    return top_position_counts(read_ranking(t.spark, files.chart_csv(t.chart_parts(), header=False)), year=YEAR)
 
 
 def q_report_tuples_read_back(t: Tables) -> DataFrame:
@@ -149,7 +149,7 @@ def q_texts_with_line_breaks(t: Tables) -> DataFrame:
 
 
 def q_extension_skipping_two(t: Tables) -> DataFrame:
-    """Many origin files, each of which loses its first two records."""
+    """Many origin folders, each of which loses its first two records."""
     return read_extension(t.spark, files.extension_parts(t.extension()), skip=2).select("artist", "song", "country", "starting_place")
 
 
