@@ -172,14 +172,17 @@ def resolve_pairs(
 
     ``artist_hits``: query, name, country, arid, begin_area + ``artist_order`` columns.
     ``work_hits``: query, arid, title + ``work_order`` columns.
+
+    The distinct pairs are written first: the reductions read them in turn, and what made the requests isn't run again for each.
     """
-    related = related_works(requests, artist_hits, work_hits, artist_order, work_order)
+    pairs = Intermediates(requests.sparkSession).stored(requests.select("artist", "song").distinct(), "resolve-requests")
+    related = related_works(pairs, artist_hits, work_hits, artist_order, work_order)
     backed = related.groupBy("artist", "song").agg(
         F.min_by("hit", F.struct("score", "a_ord", "w_ord")).alias("backed")
     )
 
     # Artist-only arm depends on the original artist alone, not the song.
-    originals = requests.select("artist").distinct().select("artist", normalise_artist("artist").alias("a"))
+    originals = pairs.select("artist").distinct().select("artist", normalise_artist("artist").alias("a"))
     asked = originals.select(F.col("a").alias("query")).distinct()
     cands = _candidates(artist_hits.join(asked, "query", "left_semi"), artist_order).withColumnRenamed("query", "a")
     only = (

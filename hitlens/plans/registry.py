@@ -16,6 +16,7 @@ from hitlens.operators.groups import series_mean, word_count
 from hitlens.operators.resolve import distinct_pairs, related_works, resolve_pairs
 from hitlens.plans import files
 from hitlens.plans.fixtures import Tables, padded_lines
+from hitlens.session import Intermediates
 from hitlens.sources import (
     RESOLVED_FIELDS,
     parse_delimited,
@@ -73,7 +74,9 @@ def q_enrich_from_resolved(t: Tables) -> DataFrame:
     The resolved file's order is (artist, song); the struct ordinal keeps it.
     """
     chart = t.chart()
-    resolved = resolve_pairs(distinct_pairs(chart), t.chart_artist_hits(), t.chart_work_hits())
+    # The worklist is a file of its own in the original job: written once, read by the resolution's steps.
+    pairs = Intermediates(t.spark).stored(distinct_pairs(chart), "pairs")
+    resolved = resolve_pairs(pairs, t.chart_artist_hits(), t.chart_work_hits())
     origins = resolved.select(F.struct("artist", "song").alias("ord"), "artist", "song", "country", "starting_place")
     return enrich_ranking(chart, origins)
 

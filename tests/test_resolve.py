@@ -146,3 +146,20 @@ def test_every_split_of_ids_gives_the_same(spark):
     ah, wh = spark.createDataFrame(ahits, AH), spark.createDataFrame(whits, WH)
     results = [sorted(map(str, related_works(req, ah, wh, light=n).collect())) for n in (0, 3, 100)]
     assert results[0] and results[0] == results[1] == results[2]
+
+
+def test_what_makes_the_requests_runs_once_for_the_reductions(spark, monkeypatch):
+    from hitlens.operators import resolve as r
+
+    stored, made = r.Intermediates.stored, []
+
+    def noted(self, df, name):
+        made.append((name, "Range (" in df._jdf.queryExecution().optimizedPlan().toString()))
+        return stored(self, df, name)
+
+    monkeypatch.setattr(r.Intermediates, "stored", noted)
+    req = spark.range(40).selectExpr("concat('a', id % 2) artist", "concat('s', id % 3) song")
+    got = resolve_pairs(req, spark.createDataFrame([("a1", 0, "A1 x", "CL", "7", "P")], AH), spark.createDataFrame([("s2", 0, "7", "The S2")], WH))
+    assert [name for name, of_source in made if of_source] == ["resolve-requests"]
+    # Every request row stays, repeated ones too.
+    assert got.count() == 40 and got.where("result_artist = 'A1 x'").count() == 20
