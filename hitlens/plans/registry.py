@@ -87,12 +87,19 @@ def q_strip_commas(t: Tables) -> DataFrame:
                         *[strip_commas(c).alias(c) for c in ("url", "date", "region")])
 
 
+def _chart_file(t: Tables, chart: Callable[[Intermediates], DataFrame], header: bool = True) -> str:
+    tables = Intermediates(t.spark)
+    path = files.chart_csv(chart(tables), header=header)
+    tables.drop()
+    return path
+
+
 def q_top_position_counts_from_csv(t: Tables) -> DataFrame:
-    return top_position_counts(read_ranking(t.spark, files.chart_csv(t.chart())), year=YEAR)
+    return top_position_counts(read_ranking(t.spark, _chart_file(t, t.chart)), year=YEAR)
 
 
 def q_enrich_ranking_from_files(t: Tables) -> DataFrame:
-    ranking = read_ranking(t.spark, files.chart_csv(t.chart()))
+    ranking = read_ranking(t.spark, _chart_file(t, t.chart))
     extension = read_extension(t.spark, files.extension_lines(t.extension()))
     return enrich_ranking(ranking, extension).drop("ord")
 
@@ -113,7 +120,7 @@ def q_enrich_origin_totals(t: Tables) -> DataFrame:
 
 
 def q_report_headerless_parts(t: Tables) -> DataFrame:
-    return top_position_counts(read_ranking(t.spark, files.chart_csv(t.chart_parts(), header=False)), year=YEAR)
+    return top_position_counts(read_ranking(t.spark, _chart_file(t, t.chart_parts, header=False)), year=YEAR)
 
 
 def q_report_tuples_read_back(t: Tables) -> DataFrame:

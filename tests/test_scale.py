@@ -5,7 +5,7 @@ import time
 
 import pytest
 
-from hitlens.plans import files, fixtures
+from hitlens.plans import files, fixtures, registry
 from hitlens.plans.fixtures import Tables
 from hitlens.session import SHUFFLE_CLEANUP, Intermediates, shuffles_released
 from hitlens.sinks import files as sink_files
@@ -56,6 +56,29 @@ def test_names_are_shuffled_once_and_finished_rows_never(spark):
         assert sum("hashpartitioning(date" in line for line in exchanges) == 1
 
 
+@pytest.mark.parametrize("parts", [False, True])
+def test_what_the_stored_names_are_made_of_is_not_shuffled_again(spark, parts):
+    tables, derived = Intermediates(spark), Tables(spark, SF_SMALL)
+    made = derived.chart_parts if parts else derived.chart
+    chart = made(tables)
+    assert len(tables.paths) == 1 and "chart-named" in tables.paths[0]
+    plan = chart._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange" in line for line in plan.splitlines()) == 1 and "l_orderkey" not in plan
+    assert chart.rdd.getNumPartitions() == made().rdd.getNumPartitions() and rows(chart) == rows(made())
+    tables.drop()
+
+
+@pytest.mark.parametrize("name", ["report_headerless_parts", "top_position_counts_from_csv", "enrich_ranking_from_files"])
+def test_stored_names_are_dropped_when_the_file_is_written(spark, monkeypatch, name):
+    stored, dropped = [], []
+    keep, drop = Intermediates.stored, Intermediates.drop
+    monkeypatch.setattr(Intermediates, "stored", lambda self, df, name: (keep(self, df, name), stored.append(self.paths[-1]))[0])
+    monkeypatch.setattr(Intermediates, "drop", lambda self: (dropped.extend(self.paths), drop(self))[1])
+    registry.QUERIES[name](Tables(spark, SF_SMALL))
+    named = [p for p in stored if "chart-named" in p]
+    assert len(named) == 1 and named[0] in dropped and not glob.glob(named[0].removeprefix("file:"))
+
+
 def test_parts_of_one_name_are_one_track_of_the_chart(spark, scratch):
     def put(name, schema, *rows):
         spark.createDataFrame(rows, schema).write.parquet(f"{scratch}/{name}.parquet")
